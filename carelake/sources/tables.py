@@ -18,6 +18,10 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def is_stream_fed(spark: SparkSession, path: str) -> bool:
+    return table_exists(spark, f"{str(path).rstrip('/')}/_spark_metadata")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(str(path))
 
@@ -32,6 +36,8 @@ def save_table(
     if mode != "overwrite" and table_exists(df.sparkSession, path):
         if mode == "ignore":
             return 0
+        if is_stream_fed(df.sparkSession, path):
+            raise ValueError(f"{path} is fed by a stream; batch rows would stay hidden")
         require_same_schema(read_table(df.sparkSession, path, fmt), df, path)
     rows, seen = counted(df)
     rows.write.format(fmt).mode(mode).save(path)

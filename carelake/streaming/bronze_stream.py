@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.bronze import csv_options, csv_schema, with_lineage
-from ..sources.tables import DEFAULT_FORMAT
+from ..sources.tables import DEFAULT_FORMAT, is_stream_fed, read_table, table_exists
 
 
 def start_incremental_ingest(
@@ -17,7 +17,13 @@ def start_incremental_ingest(
     max_files_per_batch: int = 10_000,
     fmt: str = DEFAULT_FORMAT,
 ) -> StreamingQuery:
-    """Take all files not yet in the checkpoint, in bounded batches, then stop."""
+    """Take all files not yet in the checkpoint, in bounded batches, then stop.
+
+    The stream keeps its own list of finished files beside the table and readers
+    trust that list alone, so a table is fed by streams or by batches, not both.
+    """
+    if table_exists(spark, output_path) and not is_stream_fed(spark, output_path):
+        raise ValueError(f"{output_path} was written by batch jobs; use another path")
     raw = (
         spark.readStream.schema(csv_schema())
         .options(**csv_options())
@@ -38,9 +44,12 @@ def start_incremental_ingest(
 def ingest_new_files(
     spark: SparkSession, input_path: str, output_path: str, checkpoint_path: str, **options
 ) -> int:
-    """Run to the end and return the rows added."""
+    """Run to the end and return the rows added (counted from file footers)."""
+    fmt = options.get("fmt", DEFAULT_FORMAT)
+    known = table_exists(spark, output_path)
+    before = read_table(spark, output_path, fmt).count() if known else 0
     query = start_incremental_ingest(
         spark, input_path, output_path, checkpoint_path, **options
     )
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return read_table(spark, output_path, fmt).count() - before
