@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +38,19 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Attach a row count that fills in when the frame is written."""
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    A job submitted with ``--py-files`` carrying ``carelake.zip`` has it already.
+    """
+    context = spark.sparkContext
+    if any(f.endswith("/carelake.zip") for f in context.listFiles):
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="carelake-")
+    archive = shutil.make_archive(
+        f"{folder}/carelake", "zip", root_dir=package.parent, base_dir=package.name
+    )
+    context.addPyFile(archive)
