@@ -73,7 +73,6 @@ def upsert(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataF
     stored row. Stored rows stay where they are unless the batch is too large to
     broadcast its keys.
     """
-    rest = [F.col(c).desc() for c in batch.columns if c not in {key, order}]
-    last = keep_first(batch, [key], [F.col(order).desc(), *rest]).drop(order)
+    last = keep_first(batch, [key], [F.col(order).desc()]).drop(order)
     kept = existing.join(last.select(key), key, "left_anti")
     return kept.select(*last.columns).unionByName(last)

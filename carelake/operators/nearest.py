@@ -92,11 +92,11 @@ def _scan_documents(queries: DataFrame, documents: DataFrame, k: int) -> DataFra
         for batch in batches:
             if len(batch) and len(keys):
                 more = best_pairs(
-                    keys, vectors, batch["key"].to_numpy(), unit_rows(batch["vector"]), k
+                    vectors, batch["key"].to_numpy(), unit_rows(batch["vector"]), k
                 )
-                found = more if found is None else merge_best(found, more, k)
+                found = more if found is None else keep_best(pd.concat([found, more]), k)
         if found is not None:
-            yield found
+            yield found.assign(q=keys[found["q"]])
 
     return documents.mapInPandas(
         nearest_in_partition, _result_schema(queries, documents)
@@ -113,9 +113,8 @@ def _scan_queries(queries: DataFrame, documents: DataFrame, k: int) -> DataFrame
         keys, vectors = shared.value
         for batch in batches:
             if len(batch) and len(keys):
-                yield best_pairs(
-                    batch["key"].to_numpy(), unit_rows(batch["vector"]), keys, vectors, k
-                )
+                near = best_pairs(unit_rows(batch["vector"]), keys, vectors, k)
+                yield near.assign(q=batch["key"].to_numpy()[near["q"]])
 
     return queries.mapInPandas(nearest_to_batch, _result_schema(queries, documents))
 
@@ -133,13 +132,13 @@ def _block_pairs(
     def nearest_in_blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"q": [], "d": [], "score": []})
-        return best_pairs(
-            left["key"].to_numpy(),
+        near = best_pairs(
             unit_rows(left["vector"]),
             right["key"].to_numpy(),
             unit_rows(right["vector"]),
             k,
         )
+        return near.assign(q=left["key"].to_numpy()[near["q"]])
 
     left = dealt(queries, "qb", query_blocks, "db", document_blocks)
     right = dealt(documents, "db", document_blocks, "qb", query_blocks)
@@ -158,33 +157,20 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
 
 
 def best_pairs(
-    query_keys: np.ndarray,
-    query_rows: np.ndarray,
-    document_keys: np.ndarray,
-    document_rows: np.ndarray,
-    k: int,
+    query_rows: np.ndarray, document_keys: np.ndarray, document_rows: np.ndarray, k: int
 ) -> pd.DataFrame:
-    """The k best documents of each query, by score and then by key."""
-    order = np.argsort(document_keys, kind="stable")
-    document_keys, document_rows = document_keys[order], document_rows[order]
+    """The k best documents of each query (by position), by score and then key."""
     width = min(k, len(document_keys))
     step = max(1, PAIRS_PER_STEP // len(document_keys))
     parts = []
-    for at in range(0, len(query_keys), step):
+    for at in range(0, len(query_rows), step):
         scores = np.round(query_rows[at : at + step] @ document_rows.T, SCORE_DIGITS)
-        # the k-th best score may be tied: rank all that reach it, in key order
+        # the k-th best score may be tied: rank all that reach it
         reach = np.partition(scores, -width, axis=1)[:, -width][:, None]
         q, d = np.nonzero(scores >= reach)
-        parts.append(
-            pd.DataFrame(
-                {"q": query_keys[at + q], "d": document_keys[d], "score": scores[q, d]}
-            )
-        )
-    return keep_best(pd.concat(parts), k)
-
-
-def merge_best(a: pd.DataFrame, b: pd.DataFrame, k: int) -> pd.DataFrame:
-    return keep_best(pd.concat([a, b]), k)
+        pairs = {"q": at + q, "d": document_keys[d], "score": scores[q, d]}
+        parts.append(keep_best(pd.DataFrame(pairs), k))
+    return pd.concat(parts)
 
 
 def keep_best(pairs: pd.DataFrame, k: int) -> pd.DataFrame:

@@ -10,7 +10,9 @@ from ..functions.literature import citation_url, embedding_text, fill_payload, p
 from ..functions.vectors import Embedder, hashed_embedder
 from ..operators.dedupe import first_query_wins
 from ..operators.mutate import new_articles, upsert
+from ..operators.lookup import broadcast_if_small
 from ..operators.nearest import top_k
+from ..runtime import settle
 from ..schemas import ABSTRACT_SCHEMA, INDEX_SCHEMA
 from ..sources.articles import read_corpus
 from ..sources.tables import read_table, require_dimension, save_table, table_exists
@@ -69,7 +71,7 @@ def index_corpus(
     columns = INDEX_SCHEMA.names
     table = upsert(stored, batch.select(*columns, "_order"), "point_id", "_order")
     save_table(table.select(*columns), output_path, mode="overwrite")
-    return points.select("point_id").distinct().count()
+    return corpus.count()
 
 
 def retrieve(
@@ -85,15 +87,19 @@ def retrieve(
     """
     embedder = embedder or hashed_embedder()
     texts = queries.filter(F.trim(F.col(query)) != "").select(query).distinct()
-    near = top_k(
-        embedder(texts, query, "vector"),
-        index,
-        k,
-        query_key=query,
-        document_key="point_id",
+    near = settle(
+        top_k(
+            embedder(texts, query, "vector"),
+            index,
+            k,
+            query_key=query,
+            document_key="point_id",
+        )
     )
     documents = index.select("point_id", *[c for c in PAYLOAD if c in index.columns])
-    found = fill_payload(near.join(documents, "point_id"))
+    hits = near.select("point_id").distinct()
+    hit_documents = documents.join(broadcast_if_small(hits), "point_id", "left_semi")
+    found = fill_payload(near.join(hit_documents, "point_id"))
     return found.select(
         query,
         "rank",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleanse import bronze_to_silver
 from ..operators.contract import patient_lineage, split_gold
-from ..runtime import counted
+from ..runtime import counted, settle
 from ..sources.bronze import read_bronze
 from ..sources.jdbc import write_jdbc
 from ..sources.tables import DEFAULT_FORMAT, read_table, save_table
@@ -48,7 +48,7 @@ def read_silver(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> Da
 def run_gold(
     spark: SparkSession,
     silver_path: str,
-    gold_path: str | None = None,
+    gold_path: str,
     database_url: str | None = None,
     table: str = "patient",
     quarantine_path: str | None = None,
@@ -58,18 +58,18 @@ def run_gold(
 ) -> int:
     """Load the rows the patient table can hold; returns how many.
 
-    They are staged as files first. The database is only touched afterwards, so
-    a row that breaks its rules cannot leave the table truncated.
+    The database is touched last, and only by rows that keep its rules, so a bad
+    row cannot leave the table truncated.
     """
-    if gold_path is None:
-        raise ValueError("gold_path names the staged patient table")
     silver = read_silver(spark, silver_path, fmt)
     accepted, rejected = split_gold(silver)
+    if database_url is not None:
+        accepted = settle(accepted)
     if quarantine_path is not None:
         save_table(rejected, quarantine_path, mode, fmt)
     if lineage_path is not None:
         save_table(patient_lineage(silver), lineage_path, mode, fmt)
     written = save_table(accepted, gold_path, mode, fmt)
     if database_url is not None:
-        write_jdbc(read_table(spark, gold_path, fmt), table, database_url, mode)
+        write_jdbc(accepted, table, database_url, mode)
     return written
