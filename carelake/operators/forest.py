@@ -82,6 +82,7 @@ def train_model(
         ]
     ).fit(weighted)
     model.write().overwrite().save(str(output_path))
+    model = load_model(patients.sparkSession, output_path)  # evaluate what was saved
 
     test = patients_to_features(split.filter(F.col("is_test")), keep=["mrn"])
     scored = predict_proba(test, model, keep=["mrn", LABEL])
