@@ -9,6 +9,13 @@ import pytest
 import __spark_entry__ as registry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
 TABLES = "orders documents embeddings".split()
 SQL = registry.oracle_sql()
 
@@ -40,6 +47,8 @@ def test_matches_sql(spark, duck, name):
     columns = [c[0] for c in answer.description]
     want = rows_of(columns, answer.fetchall())
     assert sorted(df.columns) == sorted(columns)
+    types = {c[0]: str(c[1]) for c in answer.description}
+    assert {n: TYPES[t] for n, t in df.dtypes} == types
     assert len(got) == len(want)
     assert [(g, w) for g, w in zip(got, want) if g != w][:3] == []
 
