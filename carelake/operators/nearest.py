@@ -126,7 +126,7 @@ def _block_pairs(
         return df.select(
             "*",
             F.pmod(F.xxhash64("key"), F.lit(n_own)).alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).cast("long").alias(other),
+            F.explode(F.expr(f"sequence(0L, {n_other - 1}L)")).alias(other),
         )
 
     def nearest_in_blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -151,6 +151,8 @@ def _block_pairs(
 
 def unit_rows(vectors: pd.Series) -> np.ndarray:
     """Stack vectors as unit rows; a zero vector stays zero."""
+    if not len(vectors):
+        return np.zeros((0, 0))
     rows = np.stack(vectors.to_numpy()).astype("float64")
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.where(norms > 0, norms, 1.0)

@@ -47,7 +47,7 @@ def read_article_xml(
                         raise
                     article = {CORRUPT_RECORD: fragment}
                 if article is not None:
-                    rows.append(article)
+                    rows.append(dict.fromkeys(columns) | article)
             yield pd.DataFrame(rows, columns=columns, dtype="object")
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ARTICLE_SCHEMA)
