@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,10 +25,19 @@ REASONS = "reasons"
 REQUEST_COLUMNS = [c for c in PATIENT_COLUMNS if c != LABEL]
 
 
-def broken_rules(rules: dict[str, Column]) -> Column:
-    """Names of the rules a row breaks, empty for a good row."""
-    return F.array_compact(
-        F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
+def split_by_rules(
+    df: DataFrame, rules: dict[str, Column]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that break no rule, and the rest with the names of those they break.
+
+    The row test is a plain disjunction, so it compiles and reaches the scan; only
+    rejected rows get the array of names.
+    """
+    breaks = reduce(or_, map(_holds, rules.values()))
+    names = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
+    return (
+        df.filter(~breaks),
+        df.filter(breaks).withColumn(REASONS, F.array_compact(names)),
     )
 
 
@@ -45,25 +57,21 @@ def split_gold(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     as copies: rows are added up by content before they move, so neither a hot
     MRN nor a group of equal rows meets in one task.
     """
-    checked = project_patient(silver).withColumn(
-        REASONS,
-        broken_rules(
-            {
-                "mrn_missing": F.col("mrn").isNull(),
-                "mrn_too_long": F.length("mrn") > MAX_MRN_LENGTH,
-                "age_missing": F.col("age").isNull(),
-                "sex_missing": F.col("sex").isNull(),
-                "sex_too_long": F.length("sex") > MAX_SEX_LENGTH,
-                "admission_date_missing": F.col("admission_date").isNull(),
-                "discharge_date_missing": F.col("discharge_date").isNull(),
-                "diagnosis_too_long": F.length("primary_diagnosis")
-                > MAX_DIAGNOSIS_LENGTH,
-                "readmitted_missing": F.col(LABEL).isNull(),
-            }
-        ),
+    valid, invalid = split_by_rules(
+        project_patient(silver),
+        {
+            "mrn_missing": F.col("mrn").isNull(),
+            "mrn_too_long": F.length("mrn") > MAX_MRN_LENGTH,
+            "age_missing": F.col("age").isNull(),
+            "sex_missing": F.col("sex").isNull(),
+            "sex_too_long": F.length("sex") > MAX_SEX_LENGTH,
+            "admission_date_missing": F.col("admission_date").isNull(),
+            "discharge_date_missing": F.col("discharge_date").isNull(),
+            "diagnosis_too_long": F.length("primary_diagnosis") > MAX_DIAGNOSIS_LENGTH,
+            "readmitted_missing": F.col(LABEL).isNull(),
+        },
     )
     one = F.lit(1).cast("long").alias("copies")
-    valid = checked.filter(F.size(REASONS) == 0).drop(REASONS)
     accepted = keep_latest(valid, ["mrn"], ["admission_date"])
     surplus = (
         valid.select("*", one)
@@ -73,8 +81,7 @@ def split_gold(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
         .filter(F.col("copies") > 0)
         .withColumn(REASONS, F.array(F.lit("mrn_duplicate")))
     )
-    rejected = checked.filter(F.size(REASONS) > 0).select("*", one)
-    return accepted, rejected.unionByName(surplus)
+    return accepted, invalid.select("*", one).unionByName(surplus)
 
 
 def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,29 +97,23 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     }.items():
         if isinstance(requests.schema[name].dataType, T.StringType):
             parsed = parsed.withColumn(name, F.col(name).try_cast(kind))
-    valid_mrn = F.length("mrn").between(1, MAX_MRN_LENGTH)
-    checked = parsed.withColumn(
-        REASONS,
-        broken_rules(
-            {
-                "mrn": ~F.coalesce(valid_mrn, F.lit(False)),
-                "age": ~F.coalesce(
-                    F.col("age").between(MIN_AGE, MAX_AGE), F.lit(False)
-                ),
-                "sex": ~F.coalesce(F.col("sex").isin(SEX_VALUES), F.lit(False)),
-                "admission_date": F.col("admission_date").isNull(),
-                "discharge_date": F.col("discharge_date").isNull(),
-                "primary_diagnosis": F.length("primary_diagnosis")
-                > MAX_DIAGNOSIS_LENGTH,
-            }
-        ),
-    )
-    return (
-        checked.filter(F.size(REASONS) == 0).drop(REASONS),
-        checked.filter(F.size(REASONS) > 0),
+    return split_by_rules(
+        parsed,
+        {
+            "mrn": ~_holds(F.length("mrn").between(1, MAX_MRN_LENGTH)),
+            "age": ~_holds(F.col("age").between(MIN_AGE, MAX_AGE)),
+            "sex": ~_holds(F.col("sex").isin(SEX_VALUES)),
+            "admission_date": F.col("admission_date").isNull(),
+            "discharge_date": F.col("discharge_date").isNull(),
+            "primary_diagnosis": F.length("primary_diagnosis") > MAX_DIAGNOSIS_LENGTH,
+        },
     )
 
 
+def _holds(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
 def scoring_rows(accepted: DataFrame) -> DataFrame:
     """Request columns only: the label is unknown when scoring."""
     return accepted.select(*REQUEST_COLUMNS)

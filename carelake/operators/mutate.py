@@ -27,10 +27,8 @@ def duplicate_mrns(existing: DataFrame, batch: DataFrame) -> DataFrame:
 
 def new_patients(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Batch rows whose MRN is not in the table, one per MRN."""
-    fresh = batch.select(*PATIENT_COLUMNS).join(
-        existing.select("mrn"), "mrn", "left_anti"
-    )
-    return keep_latest(fresh, ["mrn"], ["admission_date"])
+    once = keep_latest(batch.select(*PATIENT_COLUMNS), ["mrn"], ["admission_date"])
+    return once.join(existing.select("mrn"), "mrn", "left_anti")
 
 
 def with_ids(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
@@ -68,11 +66,17 @@ def new_articles(existing: DataFrame, found: DataFrame) -> DataFrame:
     return found.join(existing.select("pmid"), "pmid", "left_anti")
 
 
-def upsert(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
-    """Table after a batch: the batch row with the highest ``order`` replaces the
-    stored row. Stored rows stay where they are unless the batch is too large to
-    broadcast its keys.
+def replace_rows(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Table after a batch with unique keys took the place of stored rows.
+
+    Stored rows stay where they are unless the batch has too many keys to
+    broadcast.
     """
+    kept = existing.join(batch.select(key), key, "left_anti")
+    return kept.select(*batch.columns).unionByName(batch)
+
+
+def upsert(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
+    """``replace_rows`` for a batch that may repeat keys: the highest ``order`` wins."""
     last = keep_first(batch, [key], [F.col(order).desc()]).drop(order)
-    kept = existing.join(last.select(key), key, "left_anti")
-    return kept.select(*last.columns).unionByName(last)
+    return replace_rows(existing, last, key)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..fixed_values import EMBEDDING_DIM
 from ..functions.literature import citation_url, embedding_text, fill_payload, point_id
 from ..functions.vectors import Embedder, hashed_embedder
-from ..operators.dedupe import first_query_wins
-from ..operators.mutate import new_articles, upsert
+from ..operators.dedupe import first_query_wins, keep_first
+from ..operators.mutate import new_articles, replace_rows
 from ..operators.lookup import broadcast_if_small
 from ..operators.nearest import top_k
 from ..runtime import settle
@@ -53,24 +53,25 @@ def index_corpus(
 ) -> int:
     """Write a new index snapshot: the previous one with the corpus upserted.
 
-    Returns the points indexed from the corpus. A corpus that names a PMID twice
-    keeps the later entry, in text order of the entries.
+    Returns the articles read. A corpus that names a PMID twice is reduced to one
+    entry, the same on every run, before anything is embedded.
     """
     if previous_path is not None and str(previous_path) == str(output_path):
         raise ValueError("a snapshot cannot replace the one it is built from")
     corpus = read_corpus(spark, corpus_path, array_file)
-    points, rejected = embed_articles(corpus, embedder, dim)
+    content = F.md5(F.to_json(F.struct(*ABSTRACT_SCHEMA.names)).cast("binary"))
+    points, rejected = embed_articles(
+        keep_first(corpus, ["pmid"], [content.desc()]), embedder, dim
+    )
     bad = rejected.take(1)
     if bad:
         raise ValueError(f"pmid is not a number: {bad[0].pmid!r}")
-    batch = points.withColumn("_order", F.to_json(F.struct(*ABSTRACT_SCHEMA.names)))
     if previous_path is not None and table_exists(spark, previous_path):
         stored = read_table(spark, previous_path)
     else:
         stored = spark.createDataFrame([], INDEX_SCHEMA)
-    columns = INDEX_SCHEMA.names
-    table = upsert(stored, batch.select(*columns, "_order"), "point_id", "_order")
-    save_table(table.select(*columns), output_path, mode="overwrite")
+    table = replace_rows(stored, points.select(*INDEX_SCHEMA.names), "point_id")
+    save_table(table, output_path, mode="overwrite")
     return corpus.count()
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.clinical import clinical_query, risk_band
@@ -48,6 +48,19 @@ def predict(
     )
 
 
+def with_batch_mean(predictions: DataFrame) -> tuple[DataFrame, Observation]:
+    """Count and mean probability of a batch, known once it has been written."""
+    seen = Observation()
+    return (
+        predictions.observe(
+            seen,
+            F.count(F.lit(1)).alias("n_scored"),
+            F.avg("readmission_probability").alias("mean_probability"),
+        ),
+        seen,
+    )
+
+
 def explain(
     requests: DataFrame, explainer: Explainer, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:

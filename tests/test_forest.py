@@ -198,3 +198,13 @@ def test_against_all_coalitions():
     want = [[np.mean([shapley(t, x, i) for t in SMALL_FOREST]) for i in range(3)] for x in rows]
     assert np.allclose(got, want, atol=1e-12)
     assert baseline(SMALL_FOREST) == pytest.approx(0.45)
+
+
+def test_batch_mean(spark, result):
+    model = load_model(spark, result.model_path)
+    scored, seen = scoring.with_batch_mean(scoring.predict(requests(spark, HIGH, LOW), model)[0])
+    rows = scored.collect()
+    assert seen.get["n_scored"] == 2
+    assert seen.get["mean_probability"] == pytest.approx(
+        np.mean([r.readmission_probability for r in rows])
+    )
