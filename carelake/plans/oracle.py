@@ -162,11 +162,10 @@ ORACLE = {
     ),
     "bronze_incremental": _with("enc", RAW_ROWS),
     "medallion_run": _with(
-        "enc silver gold",
+        "enc silver",
         """SELECT (SELECT count(*) FROM enc) AS bronze_rows, (SELECT count(*) FROM silver) AS silver_rows,
  (SELECT count(*) FROM enc) - (SELECT count(*) FROM silver) AS silver_dropped,
- (SELECT count(*) FROM gold) AS gold_rows,
- (SELECT count(*) FROM silver) - (SELECT count(*) FROM gold) AS quarantined""",
+ (SELECT count(*) FROM silver) AS gold_and_quarantine""",
     ),
     "silver_clean": _with(
         "silver",
