@@ -15,6 +15,27 @@ from pyspark.sql import functions as F
 from ..fixed_values import COHORT_CODES, ELDERLY_AGE, LABEL, RECENT_DAYS
 
 EPOCH = dt.date(1900, 1, 1)
+ADMISSION_MONTH = "admission_month"
+
+
+def with_admission_month(patients: DataFrame) -> DataFrame:
+    """Adds the partition column of a table that is laid out by month."""
+    return patients.withColumn(ADMISSION_MONTH, _month(F.col("admission_date")))
+
+
+def _month(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
+
+
+def _admitted(patients: DataFrame, start=None, end=None) -> DataFrame:
+    """Rows in a date range, either end open; whole months are skipped if stored so."""
+    for bound, keep in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is None:
+            continue
+        patients = patients.filter(keep(F.col("admission_date"), _date(bound)))
+        if ADMISSION_MONTH in patients.columns:
+            patients = patients.filter(keep(F.col(ADMISSION_MONTH), _month(_date(bound))))
+    return patients
 
 
 def find_by_id(patients: DataFrame, patient_id: int) -> DataFrame:
@@ -27,9 +48,7 @@ def find_by_mrn(patients: DataFrame, mrn: str) -> DataFrame:
 
 def admissions_between(patients: DataFrame, start, end) -> DataFrame:
     """Both ends inclusive, in admission order."""
-    return _in_admission_order(
-        patients.filter(F.col("admission_date").between(_date(start), _date(end)))
-    )
+    return _in_admission_order(_admitted(patients, start, end))
 
 
 def find_by_diagnoses(
@@ -38,11 +57,7 @@ def find_by_diagnoses(
     if not codes:
         return patients.limit(0)
     found = patients.filter(F.col("primary_diagnosis").isin(list(codes)))
-    if start is not None:
-        found = found.filter(F.col("admission_date") >= _date(start))
-    if end is not None:
-        found = found.filter(F.col("admission_date") <= _date(end))
-    return _in_admission_order(found)
+    return _in_admission_order(_admitted(found, start, end))
 
 
 def named_cohort(patients: DataFrame, name: str, start=None, end=None) -> DataFrame:

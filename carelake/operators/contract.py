@@ -50,12 +50,21 @@ def patient_lineage(silver: DataFrame) -> DataFrame:
     return silver.select("mrn", "ingested_at", "source_file")
 
 
-def split_gold(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeats_mrn(df: DataFrame) -> bool:
+    """Whether an MRN occurs twice; only the MRNs are shuffled, after adding up."""
+    counts = df.groupBy("mrn").agg(F.count(F.lit(1)).alias("n"))
+    return not counts.filter(F.col("n") > 1).isEmpty()
+
+
+def split_gold(
+    silver: DataFrame, mrn_is_unique: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Rows the patient table can hold, and the rest with reasons and a count.
 
     Of several valid rows with one MRN, one is accepted. The others are counted
     as copies: rows are added up by content before they move, so neither a hot
-    MRN nor a group of equal rows meets in one task.
+    MRN nor a group of equal rows meets in one task. With ``mrn_is_unique``, as
+    checked by ``repeats_mrn``, no row moves at all.
     """
     valid, invalid = split_by_rules(
         project_patient(silver),
@@ -72,6 +81,8 @@ def split_gold(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
         },
     )
     one = F.lit(1).cast("long").alias("copies")
+    if mrn_is_unique:
+        return valid, invalid.select("*", one)
     accepted = keep_latest(valid, ["mrn"], ["admission_date"])
     surplus = (
         valid.select("*", one)

@@ -80,7 +80,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_gold(silver(spark, sf_dir))[0]
+    return split_gold(silver(spark, sf_dir), mrn_is_unique=True)[0]
 
 
 _stored: dict[tuple[str, str], str] = {}
@@ -248,7 +248,7 @@ def silver_drop_counts(spark, sf_dir):
 
 
 def gold_accept(spark, sf_dir):
-    return for_comparison(gold(spark, sf_dir))
+    return for_comparison(split_gold(silver(spark, sf_dir))[0])
 
 
 def _with_reason_text(rejected: DataFrame) -> DataFrame:

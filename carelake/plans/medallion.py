@@ -7,7 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleanse import bronze_to_silver
-from ..operators.contract import patient_lineage, split_gold
+from ..operators.cohorts import ADMISSION_MONTH, with_admission_month
+from ..operators.contract import (
+    patient_lineage,
+    project_patient,
+    repeats_mrn,
+    split_gold,
+)
 from ..runtime import counted, settle
 from ..sources.bronze import read_bronze
 from ..sources.jdbc import write_jdbc
@@ -53,23 +59,29 @@ def run_gold(
     table: str = "patient",
     quarantine_path: str | None = None,
     lineage_path: str | None = None,
+    by_month: bool = False,
     mode: str = "overwrite",
     fmt: str = DEFAULT_FORMAT,
 ) -> int:
     """Load the rows the patient table can hold; returns how many.
 
+    ``by_month`` partitions the files by admission month, which lets the date
+    cohorts skip the months they do not ask for.
     The database is touched last, and only by rows that keep its rules, so a bad
     row cannot leave the table truncated.
     """
     silver = read_silver(spark, silver_path, fmt)
-    accepted, rejected = split_gold(silver)
+    accepted, rejected = split_gold(silver, mrn_is_unique=not repeats_mrn(silver))
+    if by_month:
+        accepted = with_admission_month(accepted)
     if database_url is not None:
         accepted = settle(accepted)
     if quarantine_path is not None:
         save_table(rejected, quarantine_path, mode, fmt)
     if lineage_path is not None:
         save_table(patient_lineage(silver), lineage_path, mode, fmt)
-    written = save_table(accepted, gold_path, mode, fmt)
+    partitions = [ADMISSION_MONTH] if by_month else []
+    written = save_table(accepted, gold_path, mode, fmt, partitions)
     if database_url is not None:
-        write_jdbc(accepted, table, database_url, mode)
+        write_jdbc(project_patient(accepted), table, database_url, mode)
     return written

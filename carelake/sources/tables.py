@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,9 +29,17 @@ def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> Dat
 
 
 def save_table(
-    df: DataFrame, path: str, mode: str = "append", fmt: str = DEFAULT_FORMAT
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    fmt: str = DEFAULT_FORMAT,
+    partition_by: Sequence[str] = (),
 ) -> int:
-    """Write in one pass and return the rows written; ``ignore`` may write none."""
+    """Write in one pass and return the rows written; ``ignore`` may write none.
+
+    With ``partition_by``, rows are rebalanced first: AQE gathers small partitions
+    into full files and splits those that are too large.
+    """
     path = str(path)
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}, got {mode!r}")
@@ -39,8 +49,10 @@ def save_table(
         if is_stream_fed(df.sparkSession, path):
             raise ValueError(f"{path} is fed by a stream; batch rows would stay hidden")
         require_same_schema(read_table(df.sparkSession, path, fmt), df, path)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     rows, seen = counted(df)
-    rows.write.format(fmt).mode(mode).save(path)
+    rows.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
     return seen.get["rows"]
 
 

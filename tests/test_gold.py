@@ -5,7 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.fixed_values import PATIENT_COLUMNS
-from carelake.operators.contract import project_patient, split_gold, split_requests
+from carelake.operators.cohorts import admissions_between, elderly_cohort
+from carelake.operators.contract import (
+    project_patient,
+    repeats_mrn,
+    split_gold,
+    split_requests,
+)
 from carelake.plans.medallion import run_gold
 from carelake.schemas import PATIENT_SCHEMA
 from carelake.sources import jdbc
@@ -151,3 +157,26 @@ def test_request_contract(spark, request_row, reasons):
     assert [r.reasons for r in rejected.collect()] == ([reasons] if reasons else [])
     assert accepted.count() == (0 if reasons else 1)
     assert dict(accepted.dtypes)["admission_date"] == "date"
+
+
+def test_unique_rows_do_not_move(spark):
+    rows = frame(spark, row("A"), row("B"), row("C", age=None))
+    assert not repeats_mrn(rows) and repeats_mrn(rows.union(rows))
+    accepted, rejected = split_gold(rows, mrn_is_unique=True)
+    assert "Exchange" not in accepted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.mrn for r in accepted.collect()) == ["A", "B"]
+    assert [(r.mrn, r.copies) for r in rejected.collect()] == [("C", 1)]
+
+
+def test_months_are_skipped(spark, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    days = [dt.date(2023, 12, 31), dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.date(2024, 2, 1)]
+    save_table(with_lineage(frame(spark, *[row(str(d), start=d) for d in days])), silver)
+    assert run_gold(spark, silver, gold, by_month=True) == 4
+    table = read_table(spark, gold)
+    january = admissions_between(table, "2024-01-01", "2024-01-31")
+    assert [r.mrn for r in january.collect()] == ["2024-01-01", "2024-01-31"]
+    plan = january._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :]
+    assert "admission_month" in filters[: filters.index("]")]
+    assert elderly_cohort(table, "2024-01-15").count() == 2
