@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import settle
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -37,7 +37,13 @@ from ..operators.contract import (
 )
 from ..operators.dedupe import first_query_wins
 from ..operators.features import feature_names, patients_to_features, quoted
-from ..operators.forest import TrainingResult, load_model, top_importances, train_model
+from ..operators.forest import (
+    TrainingResult,
+    load_model,
+    predict_label,
+    top_importances,
+    train_model,
+)
 from ..operators.metrics import binary_metrics, class_weights, positive_rate
 from ..operators.mutate import (
     delete_by_ids,
@@ -52,7 +58,7 @@ from ..operators.ranking import stratified_split
 from ..operators.shap import Explainer
 from ..runtime import scratch_path, settle
 from ..sources.articles import read_article_xml, read_corpus, write_corpus
-from ..sources.bronze import ingest_raw_csv, read_bronze
+from ..sources.bronze import ingest_raw_csv, read_bronze, read_csv
 from ..sources.tables import read_table, save_table
 from ..streaming.bronze_stream import ingest_new_files
 from . import scoring
@@ -212,6 +218,17 @@ def bronze_incremental(spark, sf_dir):
     return _bronze_rows(read_bronze(spark, out))
 
 
+def csv_inferred(spark, sf_dir):
+    """Types found by inference; the empty texts of a CSV are nulls."""
+    return read_csv(spark, f"{_raw_csv(spark, sf_dir)}/*.csv").groupBy("sex").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("age").cast("long").alias("total_age"),
+        F.count_if("readmitted_30d").alias("n_readmitted"),
+        F.count("primary_diagnosis").alias("n_diagnosed"),
+        F.max("admission_date").cast("string").alias("last_admission"),
+    )
+
+
 def medallion_run(spark, sf_dir):
     """CSV files to the patient table through all three jobs.
 
@@ -307,6 +324,17 @@ def admissions_between(spark, sf_dir):
     )
 
 
+def admissions_by_month(spark, sf_dir):
+    """The same kind of range on a table laid out by month: two months are read."""
+    clean, table = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    save_table(silver(spark, sf_dir), clean)
+    run_gold(spark, clean, table, by_month=True)
+    found = cohorts.admissions_between(
+        read_table(spark, table), "1999-03-10", "1999-04-20"
+    )
+    return for_comparison(found)
+
+
 def diagnosis_filter(spark, sf_dir):
     return for_comparison(
         cohorts.find_by_diagnoses(
@@ -526,6 +554,19 @@ def score_checks(spark, sf_dir):
     )
 
 
+def label_checks(spark, sf_dir):
+    """Labels at a threshold, over the stored patients."""
+    model = load_model(spark, trained(spark, sf_dir).model_path)
+    features = patients_to_features(patients(spark, sf_dir), False, keep=["mrn"])
+    labelled = predict_label(features, model, 0.4, keep=["mrn"])
+    return labelled.agg(
+        F.count(F.lit(1)).alias("n_labelled"),
+        F.count_if(
+            (F.col("predicted_label") == 1) == (F.col("probability") >= 0.4)
+        ).alias("n_at_threshold"),
+    )
+
+
 def _explained(spark, sf_dir) -> DataFrame:
     explainer = Explainer(spark, trained(spark, sf_dir).model_path)
     return scoring.explain(gold(spark, sf_dir), explainer)[0]
@@ -771,6 +812,7 @@ QUERIES = {
         bronze_roundtrip,
         bronze_append_twice,
         bronze_incremental,
+        csv_inferred,
         medallion_run,
         silver_clean,
         silver_drop_counts,
@@ -784,6 +826,7 @@ QUERIES = {
         id_lookup,
         mrn_lookup,
         admissions_between,
+        admissions_by_month,
         diagnosis_filter,
         heart_failure,
         cardiovascular,
@@ -810,6 +853,7 @@ QUERIES = {
         top_features,
         forest_scores,
         score_checks,
+        label_checks,
         tree_shap,
         shap_checks,
         cited_explanations,

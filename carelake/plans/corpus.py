@@ -15,11 +15,22 @@ from ..operators.nearest import top_k
 from ..runtime import settle
 from ..schemas import ABSTRACT_SCHEMA, INDEX_SCHEMA
 from ..sources.articles import read_corpus
-from ..sources.tables import read_table, require_dimension, save_table, table_exists
+from ..sources.tables import (
+    create_if_absent,
+    read_table,
+    require_dimension,
+    save_table,
+    table_exists,
+)
 
 PAYLOAD = ["pmid", "title", "abstract", "journal", "year", "authors"]
 
 
+def ensure_index(spark: SparkSession, path: str) -> bool:
+    """Create an empty index; true if it was not there yet."""
+    return create_if_absent(spark, path, INDEX_SCHEMA)
+
+
 def collect_corpus(found: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Articles found by ordered searches, each once, without those known already."""
     once = first_query_wins(found)

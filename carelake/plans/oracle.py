@@ -161,6 +161,12 @@ ORACLE = {
         "enc", "SELECT CAST(2 * count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS ignored FROM enc"
     ),
     "bronze_incremental": _with("enc", RAW_ROWS),
+    "csv_inferred": _with(
+        "enc",
+        """SELECT sex, count(*) AS n_rows, CAST(sum(age) AS BIGINT) AS total_age,
+ count(*) FILTER (WHERE readmitted_30d) AS n_readmitted, count(nullif(primary_diagnosis, '')) AS n_diagnosed,
+ CAST(max(admission_date) AS VARCHAR) AS last_admission FROM enc GROUP BY sex""",
+    ),
     "medallion_run": _with(
         "enc silver",
         """SELECT (SELECT count(*) FROM enc) AS bronze_rows, (SELECT count(*) FROM silver) AS silver_rows,
@@ -202,6 +208,11 @@ ORACLE = {
     "admissions_between": _patients_where(
         "admission_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"
     ),
+    "admissions_by_month": _with(
+        "gold",
+        f"""SELECT {SILVER_TEXT}, strftime(admission_date, '%Y-%m') AS admission_month FROM
+ (SELECT * FROM gold) AS g WHERE g.admission_date BETWEEN DATE '1999-03-10' AND DATE '1999-04-20'""",
+    ),
     "diagnosis_filter": _patients_where(
         """primary_diagnosis IN ('A41.9', 'N17.9')
  AND admission_date >= DATE '1996-01-01' AND admission_date <= DATE '2001-03-31'"""
@@ -302,6 +313,9 @@ SELECT CAST(max(p) + max(n) AS BIGINT) AS n, CAST(max(p) AS BIGINT) AS n_positiv
         "gold",
         "SELECT count(*) AS n_scored, count(*) AS n_in_range, count(*) AS n_banded FROM gold",
     ),
+    "label_checks": _with(
+        "gold", "SELECT count(*) AS n_labelled, count(*) AS n_at_threshold FROM gold"
+    ),
     "shap_checks": _with(
         "gold",
         f"SELECT count(*) AS n_explained, count(*) AS n_additive, {len(feature_names())} * count(*) AS n_contributions FROM gold",

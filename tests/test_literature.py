@@ -8,7 +8,13 @@ from carelake.functions.literature import citation_url, embedding_text, fill_pay
 from carelake.functions.vectors import cosine, hashed_embedder, l2_norm, model_embedder, normalize
 from carelake.operators.dedupe import first_query_wins
 from carelake.operators.nearest import top_k
-from carelake.plans.corpus import collect_corpus, embed_articles, index_corpus, retrieve
+from carelake.plans.corpus import (
+    collect_corpus,
+    embed_articles,
+    ensure_index,
+    index_corpus,
+    retrieve,
+)
 from carelake.schemas import ABSTRACT_SCHEMA, CORRUPT_RECORD
 from carelake.sources.articles import read_article_xml, read_corpus, write_corpus
 from carelake.sources.tables import read_table, require_dimension
@@ -212,6 +218,15 @@ def test_index_again_replaces_points(spark, index):
         index_corpus(spark, str(index / "more"), str(index / "v1"), str(index / "v1"))
 
 
+def test_empty_index(spark, index, tmp_path):
+    path = str(tmp_path / "v0")
+    assert ensure_index(spark, path) and not ensure_index(spark, path)
+    queries = spark.createDataFrame([("stroke",)], "query string")
+    assert retrieve(queries, read_table(spark, path)).count() == 0
+    assert index_corpus(spark, str(index / "corpus"), str(tmp_path / "v1"), path) == 4
+    assert read_table(spark, str(tmp_path / "v1")).count() == 4
+
+
 def test_pmid_must_be_a_number(spark, tmp_path):
     rows = abstracts(spark, ("PMC9", "t", "a"), ("9", "t", "a"))
     points, rejected = embed_articles(rows)
