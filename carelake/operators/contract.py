@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -125,6 +126,6 @@ def _holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def scoring_rows(accepted: DataFrame) -> DataFrame:
-    """Request columns only: the label is unknown when scoring."""
-    return accepted.select(*REQUEST_COLUMNS)
+def scoring_rows(accepted: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Request columns and ``keep``: the label is unknown when scoring."""
+    return accepted.select(*REQUEST_COLUMNS, *keep)

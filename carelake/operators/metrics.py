@@ -73,38 +73,39 @@ def _sum(value: str | Column) -> Column:
 
 def _with_totals_above(per_score: DataFrame) -> DataFrame:
     """Adds the positives and negatives at strictly higher scores."""
-    bounds = []
-    if per_score.count() > ONE_RANGE_SCORES:
-        shares = [i / RANGES for i in range(1, RANGES)]
-        bounds = sorted(set(per_score.approxQuantile("score", shares, 1 / (2 * RANGES))))
+    if per_score.count() <= ONE_RANGE_SCORES:
+        return per_score.withColumns(
+            {f"{c}_above": _total_above(c, "score") for c in ("pos", "neg")}
+        )
+    shares = [i / RANGES for i in range(1, RANGES)]
+    bounds = sorted(set(per_score.approxQuantile("score", shares, 1 / (2 * RANGES))))
     ranged = Bucketizer(
-        splits=[float("-inf"), *bounds, float("inf")]
-        if bounds
-        else [float("-inf"), 0.0, float("inf")],
-        inputCol="score",
-        outputCol="range",
+        splits=[float("-inf"), *bounds, float("inf")], inputCol="score", outputCol="range"
     ).transform(per_score)
-    if not bounds:
-        ranged = ranged.withColumn("range", F.lit(0.0))
-    higher = Window.orderBy(F.col("range").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    totals = ranged.groupBy("range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    offsets = totals.select(
-        "range",
-        F.coalesce(F.sum("pos").over(higher), F.lit(0)).alias("pos_offset"),
-        F.coalesce(F.sum("neg").over(higher), F.lit(0)).alias("neg_offset"),
-    )
-    above = (
-        Window.partitionBy("range")
-        .orderBy(F.col("score").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("range")
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .select(
+            "range",
+            _total_above("pos", "range").alias("pos_offset"),
+            _total_above("neg", "range").alias("neg_offset"),
+        )
     )
-    running = lambda c: F.coalesce(F.sum(c).over(above), F.lit(0))
+    within = {
+        f"{c}_within": _total_above(c, "score", Window.partitionBy("range"))
+        for c in ("pos", "neg")
+    }
     return (
-        ranged.withColumn("pos_in_range", running("pos"))
-        .withColumn("neg_in_range", running("neg"))
+        ranged.withColumns(within)
         .join(F.broadcast(offsets), "range")
-        .withColumn("pos_above", F.col("pos_offset") + F.col("pos_in_range"))
-        .withColumn("neg_above", F.col("neg_offset") + F.col("neg_in_range"))
+        .withColumn("pos_above", F.col("pos_offset") + F.col("pos_within"))
+        .withColumn("neg_above", F.col("neg_offset") + F.col("neg_within"))
+    )
+
+
+def _total_above(count: str, order: str, window=Window) -> Column:
+    """Running total over the rows before this one in descending order."""
+    above = window.orderBy(F.col(order).desc()).rowsBetween(
+        Window.unboundedPreceding, -1
     )
+    return F.coalesce(F.sum(count).over(above), F.lit(0))

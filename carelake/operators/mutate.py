@@ -77,6 +77,9 @@ def replace_rows(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: str, order: str) -> DataFrame:
-    """``replace_rows`` for a batch that may repeat keys: the highest ``order`` wins."""
+    """``replace_rows`` for a batch that may repeat keys: the highest ``order`` wins.
+
+    ``order`` should not repeat within a key, else either row may stay.
+    """
     last = keep_first(batch, [key], [F.col(order).desc()]).drop(order)
     return replace_rows(existing, last, key)

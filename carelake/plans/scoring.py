@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clinical import clinical_query, risk_band
 from ..functions.vectors import Embedder
-from ..operators.contract import REQUEST_COLUMNS, split_requests
+from ..operators.contract import scoring_rows, split_requests
 from ..operators.features import patients_to_features
 from ..operators.forest import predict_proba
 from ..operators.lookup import attach
@@ -36,7 +36,8 @@ def predict(
     """Probability and band per request, in one narrow stage."""
     accepted, rejected = split_requests(requests)
     carried = ["mrn", *keep]
-    features = patients_to_features(accepted, include_label=False, keep=carried)
+    rows = scoring_rows(accepted, keep)
+    features = patients_to_features(rows, include_label=False, keep=carried)
     scored = predict_proba(features, model, keep=carried)
     return (
         scored.select(
@@ -66,7 +67,8 @@ def explain(
 ) -> tuple[DataFrame, DataFrame]:
     """Probability, baseline and one contribution per feature."""
     accepted, rejected = split_requests(requests)
-    return _explained(accepted, explainer, ["mrn", *keep]), rejected
+    rows = scoring_rows(accepted, keep)
+    return _explained(rows, explainer, ["mrn", *keep]), rejected
 
 
 def explain_with_citations(
@@ -79,7 +81,7 @@ def explain_with_citations(
 ) -> tuple[DataFrame, DataFrame]:
     """Explanations with the k most similar articles; none without an index."""
     accepted, rejected = split_requests(requests)
-    asked = accepted.withColumn(
+    asked = scoring_rows(accepted, keep).withColumn(
         "query",
         clinical_query(
             F.col("age"),
