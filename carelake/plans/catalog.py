@@ -521,7 +521,7 @@ def training_report(spark, sf_dir):
 def top_features(spark, sf_dir):
     """Largest importances, with the mean of each feature over the patients."""
     top = top_importances(trained(spark, sf_dir).feature_importance)
-    means = patients_to_features(gold(spark, sf_dir), False).agg(
+    means = patients_to_features(patients(spark, sf_dir), False).agg(
         *[F.avg(F.col(quoted(n)).cast("double")).alias(f"m{i}") for i, (n, _) in enumerate(top)]
     )
     rows = [
@@ -538,7 +538,7 @@ def top_features(spark, sf_dir):
 
 def forest_scores(spark, sf_dir):
     model = load_model(spark, trained(spark, sf_dir).model_path)
-    return scoring.predict(gold(spark, sf_dir), model)[0]
+    return scoring.predict(patients(spark, sf_dir), model)[0]
 
 
 def score_checks(spark, sf_dir):
@@ -569,7 +569,7 @@ def label_checks(spark, sf_dir):
 
 def _explained(spark, sf_dir) -> DataFrame:
     explainer = Explainer(spark, trained(spark, sf_dir).model_path)
-    return scoring.explain(gold(spark, sf_dir), explainer)[0]
+    return scoring.explain(patients(spark, sf_dir), explainer)[0]
 
 
 def tree_shap(spark, sf_dir):
@@ -599,7 +599,7 @@ def _cited(spark, sf_dir) -> DataFrame:
         }
     )
     index = hashed_embedder()(abstracts, "_text", "vector").drop("_text")
-    return scoring.explain_with_citations(gold(spark, sf_dir), explainer, index)[0]
+    return scoring.explain_with_citations(patients(spark, sf_dir), explainer, index)[0]
 
 
 def cited_explanations(spark, sf_dir):
