@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    from public_tokenizers import path
+
+    return path(name)
+
+
 def byte_words(text: str | None) -> list[bytes]:
     """Words in UTF-8. ``bytes.split`` splits at exactly the characters of SPACE."""
     return text.encode().split() if text else []

@@ -3,9 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import packing, quality, simhash, token_count, toxicity
+from .common import table, tokenizer_file
+
+
+def toxicity_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model)
+
+
+def packing_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), *packing_files())
+
+
+def packing_files() -> tuple[str, str, str]:
+    from public_tokenizers import PATTERN
+
+    return tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), PATTERN
+
+
+def token_counts_resync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_count.count_tokens(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
+def quality_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
 def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +40,50 @@ def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity_nb_ngrams": toxicity_nb_ngrams,
+    "op4_packing_hilbert": packing_hilbert,
+    "op6_token_counts_resync": token_counts_resync,
+    "op7_quality_host_rules": quality_host_rules,
     "op10_simhash_golay": simhash_golay,
 }
 
-ORACLE: dict[str, str] = {}
+#: Oracles in DuckDB's SQL.
+ORACLE = {
+    "op7_quality_host_rules": r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source AS host, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM texts
+), windows AS (
+  SELECT row_id, i, list_extract(words, i) || ' ' || list_extract(words, i + 1) || ' ' || list_extract(words, i + 2) AS w
+  FROM split, unnest(range(1, len(words) - 1)) AS t(i)
+), repeats AS (
+  SELECT row_id, i FROM (SELECT *, count(*) OVER (PARTITION BY row_id, w) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT row_id, count(DISTINCT i + k) AS n FROM repeats, unnest([0, 1, 2]) AS t(k) GROUP BY row_id
+), figures AS (
+  SELECT doc_id, host, len(words)::BIGINT AS n_words,
+    length(array_to_string(words, ''))::BIGINT AS word_chars,
+    length(regexp_replace(array_to_string(words, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN covered USING (row_id)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures
+), hosts AS (
+  SELECT host, count(*) AS n_docs, sum(base_failed::INT) AS n_failed FROM judged WHERE host IS NOT NULL GROUP BY host
+), moments AS (
+  SELECT avg(n_failed / n_docs) AS m, coalesce(var_samp(n_failed / n_docs), 0) AS v, avg(1 / n_docs) AS share FROM hosts
+), prior AS (
+  SELECT m, greatest(2.0, least(1000.0, CASE WHEN v - m * (1 - m) * share > 0
+    THEN m * (1 - m) / (v - m * (1 - m) * share) - 1 ELSE 1000.0 END)) AS s FROM moments
+), verdicts AS (
+  SELECT host, (n_failed + s * m) / (n_docs + s) > 0.5 AS rejected FROM hosts, prior
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(rejected, false) AS kept
+FROM judged LEFT JOIN verdicts USING (host)
+""",
+}
