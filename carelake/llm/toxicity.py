@@ -3,9 +3,11 @@
 Texts are lower-cased, runs of white space become one space, and a space stands
 at both ends. The distinct n-grams of 3 to 5 characters are hashed into buckets.
 Each bucket has the log-count ratio r = log(P(bucket | toxic) / P(bucket | clean))
-over all labelled training rows; a logistic regression is fitted on x * r, where
-x says which buckets a text has. Ratios and counts use every training row. The
-fit uses a sample of at most about ``fit_rows`` of them, half of each label.
+over all labelled training rows. A logistic regression is fitted on x * r, where
+x is the logarithm of one plus a bucket's count in the text, over the buckets
+that tell the labels apart most. Ratios and counts use every training row. The
+fit uses a sample of about ``fit_rows`` of them at most, weighted back to the
+shares of the labels.
 """
 
 from __future__ import annotations
@@ -29,11 +31,11 @@ BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 LENGTHS = (3, 4, 5)
 #: Buckets that the classifier weighs: those that tell the labels apart most.
-FEATURES = 1 << 14
+FEATURES = 1 << 13
 #: Training rows of the fit, half of each label, chosen by a hash of the doc_id.
 FIT_ROWS = 8_000
 SMOOTHING = 1.0
-PENALTY = 1e-4
+PENALTY = 3e-4
 PIECE = 1 << 20  # characters hashed at once
 
 
@@ -42,67 +44,86 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def buckets_of(text: str | None, seen: np.ndarray) -> np.ndarray:
-    """Sorted distinct buckets of a text. ``seen`` is a scratch array of BUCKETS
-    false values and is left so. Long texts are hashed piece by piece."""
+def hashed(text: str | None) -> Iterator[np.ndarray]:
+    """Buckets of all n-grams of a text, in turn; long texts piece by piece."""
     plain = " " + " ".join((text or "").lower().split()) + " "
+    overlap = max(LENGTHS) - 1
     for at in range(0, len(plain), PIECE):
-        part = plain[at : at + PIECE + max(LENGTHS) - 1]
-        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        part = plain[at : at + PIECE + overlap]
+        points = np.frombuffer(part.encode("utf-32-le"), dtype=np.uint32)
         for n in LENGTHS:
-            if len(points) < n:
+            size = min(PIECE, len(points) - n + 1)
+            if size < 1:
                 continue
-            size = len(points) - n + 1
             mixed = np.full(size, n * 0x9E3779B1 & 0xFFFFFFFF, dtype=np.uint32)
             for i in range(n):
                 mixed = (mixed ^ points[i : i + size]) * np.uint32(0x85EBCA6B)
                 mixed ^= mixed >> np.uint32(13)
-            seen[(mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BUCKET_BITS)] = True
+            yield (mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BUCKET_BITS)
+
+
+def distinct_buckets(text: str | None, seen: np.ndarray) -> np.ndarray:
+    """Sorted distinct buckets; ``seen`` is a scratch array of BUCKETS false
+    values and is left so."""
+    for some in hashed(text):
+        seen[some] = True
     found = np.flatnonzero(seen)
     seen[found] = False
     return found
 
 
+def values_of(text: str | None, place: np.ndarray, size: int) -> np.ndarray:
+    """log(1 + count) of each chosen bucket; ``place`` has its column, or -1."""
+    counts = np.zeros(size, dtype=np.int64)
+    for some in hashed(text):
+        at = place[some]
+        counts += np.bincount(at[at >= 0], minlength=size)
+    return np.log1p(counts)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of each label that have a bucket, one partial row per bucket and task."""
     counts, seen = np.zeros((2, BUCKETS), dtype=np.int64), np.zeros(BUCKETS, dtype=bool)
     for batch in batches:
         for text, label in zip(batch["text"], batch["label"].to_pylist()):
-            counts[label][buckets_of(text.as_py(), seen)] += 1
+            counts[label][distinct_buckets(text.as_py(), seen)] += 1
     some = np.flatnonzero(counts.any(axis=0))
     columns = [pa.array(some), pa.array(counts[0][some]), pa.array(counts[1][some])]
     yield pa.RecordBatch.from_arrays(columns, ["bucket", "clean", "toxic"])
 
 
 def _scaled(place: np.ndarray, ratio: np.ndarray) -> Callable:
-    """Buckets of fit rows as places among the chosen features, with their ratios."""
+    """Fit rows as columns and values of their features, each times its ratio."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(BUCKETS, dtype=bool)
         for batch in batches:
-            rows = []
+            columns, values = [], []
             for text in batch["text"]:
-                at = place[buckets_of(text.as_py(), seen)]
-                rows.append(at[at >= 0])
-            columns = [
-                pa.array(rows, pa.list_(pa.int32())),
-                pa.array([ratio[r] for r in rows], pa.list_(pa.float64())),
+                value = values_of(text.as_py(), place, len(ratio))
+                some = np.flatnonzero(value)
+                columns.append(some)
+                values.append((value * ratio)[some])
+            arrays = [
+                pa.array(columns, pa.list_(pa.int32())),
+                pa.array(values, pa.list_(pa.float64())),
                 batch["label"].cast(pa.float64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "ratio", "label"])
+            yield pa.RecordBatch.from_arrays(arrays, ["column", "value", "label"])
 
     return run
 
 
 @dataclass
 class Classifier:
-    """A weight for each bucket (its ratio times its coefficient) and an intercept."""
+    """Column of each bucket (or -1), weight of each column (its ratio times its
+    coefficient) and an intercept."""
 
+    place: np.ndarray
     weights: np.ndarray
     intercept: float
 
-    def score_text(self, text: str | None, seen: np.ndarray) -> float:
-        margin = float(self.weights[buckets_of(text, seen)].sum()) + self.intercept
+    def score_text(self, text: str | None) -> float:
+        margin = float(values_of(text, self.place, len(self.weights)) @ self.weights) + self.intercept
         return float(1 / (1 + np.exp(-np.clip(margin, -500, 500))))
 
 
@@ -116,7 +137,7 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES)
     n = np.array([next((r["count"] for r in rows if r["label"] == label), 0) for label in (0, 1)])
     if not n.all():
         share = (n[1] + 1) / (n.sum() + 2)
-        return Classifier(np.zeros(BUCKETS), float(np.log(share / (1 - share))))
+        return Classifier(np.full(BUCKETS, -1, np.int32), np.zeros(1), float(np.log(share / (1 - share))))
     counted = in_tasks(texts.select("text", "label"), _count, "bucket long, clean long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     found = counted.toPandas()  # a row per bucket at most
@@ -131,33 +152,39 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES)
     place[chosen] = np.arange(len(chosen))
     ratio = ratios[chosen]
 
-    share = F.when(F.col("label") == 1, min(1.0, fit_rows / 2 / n[1]))
-    share = share.otherwise(min(1.0, fit_rows / 2 / n[0]))
+    shares = [min(1.0, fit_rows / 2 / n[label]) for label in (0, 1)]
+    share = F.when(F.col("label") == 1, shares[1]).otherwise(shares[0])
     drawn = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) < share * 1_000_003
     sample = in_tasks(
         texts.where(drawn).select("text", "label"),
         _scaled(place, ratio),
-        "place array<int>, ratio array<double>, label double",
+        "column array<int>, value array<double>, label double",
     )
     size = len(chosen)
     vector = F.udf(lambda at, values: Vectors.sparse(size, at, values), VectorUDT())
-    points = settle(sample).select("label", vector("place", "ratio").alias("features"))
+    points = settle(sample).select(
+        "label",
+        F.when(F.col("label") == 1, 1 / shares[1]).otherwise(1 / shares[0]).alias("weight"),
+        vector("column", "value").alias("features"),
+    )
     model = LogisticRegression(
-        featuresCol="features", labelCol="label", regParam=PENALTY, maxIter=40, standardization=False
+        featuresCol="features",
+        labelCol="label",
+        weightCol="weight",
+        regParam=PENALTY,
+        maxIter=100,
+        standardization=False,
     ).fit(points)
-    weights = np.zeros(BUCKETS)
-    weights[chosen] = ratio * model.coefficients.toArray()
-    return Classifier(weights, float(model.intercept))
+    return Classifier(place, ratio * model.coefficients.toArray(), float(model.intercept))
 
 
-def _scores(weights: np.ndarray, intercept: float) -> Callable:
+def _scores(model: Classifier) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = Classifier(weights, intercept), np.zeros(BUCKETS, dtype=bool)
         for batch in batches:
-            scores = [model.score_text(text.as_py(), seen) for text in batch["text"]]
-            rest = [batch[c] for c in batch.schema.names if c != "text"]
-            names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(scores, pa.float64())], [*names, "score"])
+            scores = [model.score_text(text.as_py()) for text in batch["text"]]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(scores, pa.float64())], ["doc_id", "score"]
+            )
 
     return run
 
@@ -180,7 +207,7 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
     """doc_id, held_out, score and predicted of every row; null texts are empty."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = in_tasks(rows, _scores(model.weights, model.intercept), f"doc_id {kind}, score double")
+    scored = in_tasks(rows, _scores(model), f"doc_id {kind}, score double")
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
@@ -191,12 +218,10 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Classifier) -> DataFrame:
     """The rows of ``docs``, unchanged, whose text scores below one half."""
-    weights, intercept = model.weights, model.intercept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier, seen = Classifier(weights, intercept), np.zeros(BUCKETS, dtype=bool)
         for batch in batches:
-            keep = [classifier.score_text(text.as_py(), seen) < 0.5 for text in batch["text"]]
+            keep = [model.score_text(text.as_py()) < 0.5 for text in batch["text"]]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return in_tasks(docs, run, docs.schema)
