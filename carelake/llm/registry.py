@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, token_count, toxicity
+from . import packing, quality, simhash, token_count, toxicity, url_filter
 from .common import table, tokenizer_file
 
 
@@ -25,6 +25,13 @@ def packing_files() -> tuple[str, str, str]:
     return tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), PATTERN
 
 
+def url_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    judged = url_filter.evaluate(url_filter.dated_captures(pages), url_filter.derived_entries(pages))
+    dates = {c: F.col(c).cast("string") for c in ("fetched", "listed_since")}
+    return judged.withColumns(dates)
+
+
 def token_counts_resync(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_count.count_tokens(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -42,6 +49,7 @@ def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity_nb_ngrams": toxicity_nb_ngrams,
     "op4_packing_hilbert": packing_hilbert,
+    "op5_url_temporal_lists": url_temporal_lists,
     "op6_token_counts_resync": token_counts_resync,
     "op7_quality_host_rules": quality_host_rules,
     "op10_simhash_golay": simhash_golay,
@@ -49,6 +57,39 @@ QUERIES = {
 
 #: Oracles in DuckDB's SQL.
 ORACLE = {
+    "op5_url_temporal_lists": r"""
+WITH captures AS (
+  SELECT page_id, url,
+    DATE '2023-01-01' + (('0x' || substr(md5(concat_ws('|', 'fetch', page_id::VARCHAR, url)), 1, 7))::BIGINT % 730)::INT AS fetched,
+    nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1), '\.+$', ''), '') AS host
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host FROM captures WHERE host IS NOT NULL
+), host_keys AS (
+  SELECT host, array_to_string(string_split(host, '.')[i:], '.') AS key
+  FROM hosts, unnest(range(1, len(string_split(host, '.')) + 1)) AS t(i)
+), drawn AS (
+  SELECT key, 'entry|' || key || '|' || n AS name
+  FROM (SELECT DISTINCT key FROM host_keys WHERE key LIKE '%.%'), unnest([1, 2, 3, 4]) AS t(n)
+), entries AS (
+  SELECT key, DATE '2023-01-01' + (('0x' || substr(md5('day|' || name), 1, 7))::BIGINT % 730)::INT AS since,
+    CASE WHEN ('0x' || substr(md5(name), 1, 7))::BIGINT % 2 = 0 THEN 'block' ELSE 'allow' END AS action
+  FROM drawn WHERE ('0x' || substr(md5(name), 1, 7))::BIGINT % 4 < 2
+), daily AS (
+  SELECT key, since, max(action) AS action FROM entries GROUP BY key, since
+), active AS (
+  SELECT *, lead(since) OVER (PARTITION BY key ORDER BY since) AS until FROM daily
+), verdicts AS (
+  SELECT c.host, c.fetched, arg_max(struct_pack(k := a.key, s := a.since, a := a.action), length(a.key)) AS e
+  FROM (SELECT DISTINCT host, fetched FROM captures) c
+  JOIN host_keys USING (host)
+  JOIN active a ON a.key = host_keys.key AND a.since <= c.fetched AND (a.until IS NULL OR c.fetched < a.until)
+  GROUP BY c.host, c.fetched
+)
+SELECT page_id, url, c.fetched::VARCHAR AS fetched, c.host, e.k AS matched, e.s::VARCHAR AS listed_since,
+  e.a AS action, coalesce(e.a = 'block', false) AS blocked
+FROM captures c LEFT JOIN verdicts v ON v.host = c.host AND v.fetched = c.fetched
+""",
     "op7_quality_host_rules": r"""
 WITH texts AS (
   SELECT row_number() OVER () AS row_id, doc_id, source AS host, coalesce(text, '') AS text FROM documents
