@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, simhash, token_count, toxicity, url_filter
+from . import graph_neighbors, mixing, packing, quality, simhash, token_count, toxicity, url_filter
 from .common import table, tokenizer_file
 
 
@@ -15,6 +15,10 @@ def toxicity_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+def mixing_raked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def packing_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *packing_files())
 
@@ -41,6 +45,10 @@ def quality_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
+def embedding_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_neighbors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -48,15 +56,18 @@ def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity_nb_ngrams": toxicity_nb_ngrams,
+    "op2_mixing_raked": mixing_raked,
     "op4_packing_hilbert": packing_hilbert,
     "op5_url_temporal_lists": url_temporal_lists,
     "op6_token_counts_resync": token_counts_resync,
     "op7_quality_host_rules": quality_host_rules,
+    "op9_embedding_pruned_graph": embedding_pruned_graph,
     "op10_simhash_golay": simhash_golay,
 }
 
 #: Oracles in DuckDB's SQL.
 ORACLE = {
+    "op2_mixing_raked": mixing.oracle(),
     "op5_url_temporal_lists": r"""
 WITH captures AS (
   SELECT page_id, url,
