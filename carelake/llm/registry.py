@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import graph_neighbors, mixing, packing, quality, simhash, token_count, toxicity, url_filter
+from . import graph_neighbors, language, mixing, packing, quality, simhash, token_count, toxicity, url_filter
 from .common import table, tokenizer_file
 
 
@@ -45,6 +45,10 @@ def quality_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("host", "host_rate")
 
 
+def language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def embedding_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_neighbors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op5_url_temporal_lists": url_temporal_lists,
     "op6_token_counts_resync": token_counts_resync,
     "op7_quality_host_rules": quality_host_rules,
+    "op8_language_evidence": language_evidence,
     "op9_embedding_pruned_graph": embedding_pruned_graph,
     "op10_simhash_golay": simhash_golay,
 }

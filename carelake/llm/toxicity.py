@@ -44,14 +44,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def hashed(text: str | None) -> Iterator[np.ndarray]:
+def hashed(
+    text: str | None, lengths: tuple[int, ...] = LENGTHS, bits: int = BUCKET_BITS
+) -> Iterator[np.ndarray]:
     """Buckets of all n-grams of a text, in turn; long texts piece by piece."""
     plain = " " + " ".join((text or "").lower().split()) + " "
-    overlap = max(LENGTHS) - 1
+    overlap = max(lengths) - 1
     for at in range(0, len(plain), PIECE):
         part = plain[at : at + PIECE + overlap]
         points = np.frombuffer(part.encode("utf-32-le"), dtype=np.uint32)
-        for n in LENGTHS:
+        for n in lengths:
             size = min(PIECE, len(points) - n + 1)
             if size < 1:
                 continue
@@ -59,7 +61,7 @@ def hashed(text: str | None) -> Iterator[np.ndarray]:
             for i in range(n):
                 mixed = (mixed ^ points[i : i + size]) * np.uint32(0x85EBCA6B)
                 mixed ^= mixed >> np.uint32(13)
-            yield (mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - BUCKET_BITS)
+            yield (mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - bits)
 
 
 def distinct_buckets(text: str | None, seen: np.ndarray) -> np.ndarray:
