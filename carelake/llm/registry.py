@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import graph_neighbors, language, mixing, packing, quality, simhash, token_count, toxicity, url_filter
+from . import graph_neighbors, language, mixing, packing, quality, simhash, substring, token_count, toxicity, url_filter
 from .common import table, tokenizer_file
 
 
@@ -19,6 +19,10 @@ def mixing_raked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def substring_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(table(spark, sf_dir, "documents"))
+
+
 def packing_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *packing_files())
 
@@ -61,6 +65,7 @@ def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity_nb_ngrams": toxicity_nb_ngrams,
     "op2_mixing_raked": mixing_raked,
+    "op3_substring_anchors": substring_anchors,
     "op4_packing_hilbert": packing_hilbert,
     "op5_url_temporal_lists": url_temporal_lists,
     "op6_token_counts_resync": token_counts_resync,
