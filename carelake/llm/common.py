@@ -38,6 +38,14 @@ def sql_words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
+def set_apart(docs: DataFrame, known: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but the known ones under plain new names, so that
+    none clashes with an operator's own, and a function that gives the old ones back."""
+    old = docs.columns
+    new = [c if c in known else f"extra_{i}" for i, c in enumerate(old)]
+    return docs.toDF(*new), lambda df: df.select(*(F.col(n).alias(o) for n, o in zip(new, old)))
+
+
 def in_tasks(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import settle
-from .common import attach_small, sql_words
+from .common import attach_small, set_apart, sql_words
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Target share of a value: its share of the tokens to this power, normalised.
@@ -145,9 +145,9 @@ def select_mixed(docs: DataFrame, budget: float = BUDGET) -> DataFrame:
     to the texts, broadcast if they measure small."""
     cells = cell_probabilities(settle(measured(docs.select("text", "source", "lang")).drop("text", "source", "lang")), budget)
     names = [f"mix_{d}" for d in DIMENSIONS]
-    judged = attach_small(measured(docs), cells, names)
-    chosen = judged.where(draw(F.col("doc_id"), F.col("text")) < F.col("probability"))
-    return chosen.select(*docs.columns)
+    rows, restored = set_apart(docs, ("doc_id", "text", "source", "lang"))
+    judged = attach_small(measured(rows), cells, names)
+    return restored(judged.where(draw(F.col("doc_id"), F.col("text")) < F.col("probability")))
 
 
 def oracle(budget: float = BUDGET, cycles: int = CYCLES, scalings: int = SCALINGS) -> str:

@@ -8,11 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..runtime import scratch_path
-from . import simhash
-from .common import attach_small, table
+from . import mixing, packing, simhash, substring, toxicity
+from .common import table, tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,17 +26,35 @@ def run_stages(spark: SparkSession, sf_dir: str, stages: Sequence[tuple[str, Sta
     return docs
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score as toxic go. The classifier learns from the labelled rows
+    of ``docs`` outside the held-out fifth."""
+    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
+    return toxicity.keep_clean(docs, model)
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest
-    doc_id, once. Rows without doc_id stay only where no member has one, and
-    equal ones stay once."""
-    groups = simhash.near_duplicates(docs)
-    repeated = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1")
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = kept.join(repeated.select("doc_id", F.lit(True).alias("again")), "doc_id", "left")
-    columns = [docs[c] for c in docs.columns]
-    named = docs.join(kept.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id") == F.col("kept_id"))
-    once = named.where("again is null").select(columns)
-    again = named.where("again").select(columns).dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id is null")
-    return once.union(again)
+    """One row of each group of near-duplicates stays."""
+    return simhash.one_of_each_group(docs)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Word runs that occur elsewhere leave the texts; all rows stay."""
+    return substring.without_repeats(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows drawn by the raked probabilities of their cells stay."""
+    return mixing.select_mixed(docs)
+
+
+def packing_files() -> tuple[str, str, str]:
+    """The byte-level vocabulary as tokenizer and as ranks, and its pattern."""
+    from public_tokenizers import PATTERN
+
+    return tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), PATTERN
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences, one row each."""
+    return packing.pack(docs, *packing_files())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import graph_neighbors, language, mixing, packing, quality, simhash, substring, token_count, toxicity, url_filter
 from .common import table, tokenizer_file
+from .pipeline import packing_files
 
 
 def toxicity_nb_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,12 +28,6 @@ def packing_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *packing_files())
 
 
-def packing_files() -> tuple[str, str, str]:
-    from public_tokenizers import PATTERN
-
-    return tokenizer_file("byte_bpe_50k.json"), tokenizer_file("byte_bpe_50k.tiktoken"), PATTERN
-
-
 def url_temporal_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = url_filter.evaluate(url_filter.dated_captures(pages), url_filter.derived_entries(pages))

@@ -26,11 +26,12 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookup import broadcast_if_small
 from ..runtime import settle
-from .common import in_tasks
+from .common import BROADCAST_BYTES, in_tasks, set_apart
 from .components import connected_components
 
 SHINGLE = 3
@@ -146,14 +147,21 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = [fingerprint(t.as_py()) for t in batch["text"]]
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], pa.array(prints, pa.int64())], ["doc_id", "print"]
+            [batch["doc_id"], batch["row_key"], pa.array(prints, pa.int64())], ["doc_id", "row_key", "print"]
         )
 
 
+def row_key() -> Column:
+    """What rows are known by: a hash of doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, print) of each row; a null text is an empty one."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return in_tasks(rows, _prints, "doc_id long, print long")
+    """(doc_id, row_key, print) of each row; a null text is an empty one."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row_key"), F.col("text").cast("string").alias("text")
+    )
+    return in_tasks(rows, _prints, "doc_id long, row_key long, print long")
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +257,7 @@ def fingerprint_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and group_print per row.
+    """doc_id, row_key, fingerprint (16 hex digits), component_id, group_print per row.
 
     ``docs`` needs doc_id and text; other columns are ignored. Null, empty and
     blank texts have the fingerprint zero and are one group. component_id is the
@@ -268,7 +276,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     groups = groups.join(ids, "group_print").select("print", "component_id", "group_print")
     return prints.join(groups, "print").select(
         "doc_id",
+        "row_key",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id",
         "group_print",
     )
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, unchanged, that stand for their near-duplicate group.
+
+    Of each group the row with the smallest doc_id stays (one without doc_id only
+    if no member has one), once: equal rows stay once. Of several texts with that
+    doc_id in one group one stays.
+    """
+    groups = settle(near_duplicates(docs).select("doc_id", "row_key", "group_print"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key"))
+    kept = groups.groupBy("group_print").agg(best["row_key"].alias("row_key")).select("row_key")
+    kept = settle(kept)
+    counts = groups.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
+    gone = counts.join(kept, "row_key", "left_anti").select(F.col("row_key").alias("gone_key"))
+    again = settle(counts.where("n > 1").join(kept, "row_key", "left_semi"))
+    rows, restored = set_apart(docs, ("doc_id", "text"))
+    rows = rows.withColumn("row_key", row_key())
+    gone = broadcast_if_small(settle(gone), BROADCAST_BYTES)
+    left = rows.join(gone, F.col("row_key") == F.col("gone_key"), "left_anti")
+    if not again.isEmpty():
+        equal = left.join(again.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"])
+        left = left.join(again.select("row_key"), "row_key", "left_anti").unionByName(equal)
+    return restored(left)

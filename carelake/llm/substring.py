@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_words, in_tasks
+from .common import byte_words, in_tasks, set_apart
 
 WINDOW = 35
 #: The longest block of which any window holds a whole aligned one.
@@ -380,7 +380,8 @@ def digests(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the kept words joined by one space as text, and n_chars if
     there is such a column. Texts that lose nothing, and all rows, stay as they are."""
-    names, kinds = docs.columns, docs.schema
+    rows, restored = set_apart(docs, ("doc_id", "text", "n_chars"))
+    names, kinds = rows.columns, rows.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("text")
@@ -400,4 +401,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 columns[names.index("n_chars")] = pa.array(new, old.type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return in_tasks(with_repeats(docs), run, kinds)
+    return restored(in_tasks(with_repeats(rows), run, kinds))

@@ -6,11 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm.pipeline import run_stages, simhash_stage
+from carelake.llm.pipeline import (
+    mixing_stage,
+    packing_stage,
+    run_stages,
+    simhash_stage,
+    substring_stage,
+    toxicity_stage,
+)
 
 #: Each takes (spark, docs, sf_dir); its result is written and read again.
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity_stage),
     ("simhash", simhash_stage),
+    ("substring", substring_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
 #: The stages score, hash and tokenise texts in ways that SQL can't express.
