@@ -183,25 +183,51 @@ def _arrays(column: pa.ChunkedArray, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype=kind)
 
 
-def _per_key(keys: np.ndarray, at: np.ndarray) -> pa.Table:
-    """(key, places) with the places of a key together."""
+PLACES = "target int, keys binary, counts binary, places binary"
+
+
+def _dealt(keys: np.ndarray, at: np.ndarray, buckets: int) -> pa.Table:
+    """Places packed by where their documents are gathered, not a row for each."""
+    target = (keys.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((keys, target))
+    target, keys, at = target[order], keys[order], at[order].astype(np.uint32)
+    rows: dict[str, list] = {"keys": [], "counts": [], "places": []}
+    starts, sizes = runs_of_equal(target)
+    for start, size in zip(starts, sizes):
+        own = keys[start : start + size]
+        first, counts = runs_of_equal(own)
+        rows["keys"].append(own[first].tobytes())
+        rows["counts"].append(counts.astype(np.uint32).tobytes())
+        rows["places"].append(at[start : start + size].tobytes())
+    columns = {name: pa.array(values, pa.binary()) for name, values in rows.items()}
+    return pa.table({"target": pa.array(target[starts], pa.int32()), **columns})
+
+
+def _gathered(group: pa.Table) -> pa.Table:
+    """(key, places) of the documents of a target, each once."""
+    keys = np.repeat(_arrays(group["keys"], np.int64), _arrays(group["counts"], np.uint32))
+    at = _arrays(group["places"], np.uint32)
     order = np.argsort(keys, kind="stable")
-    starts, sizes = runs_of_equal(keys[order])
+    starts, _ = runs_of_equal(keys[order])
     offsets = np.append(starts, len(order)).astype(np.int32)
     places = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at[order].astype(np.int32)))
     return pa.table({"key": pa.array(keys[order][starts], pa.int64()), "places": places})
 
 
-def _anchors(group: pa.Table) -> pa.Table:
+def _anchors(buckets: int) -> Callable:
     """Blocks of a bucket whose hash another task's windows have too."""
-    parts = [from_planes(x, np.uint32) for x in group["hashes"].to_pylist() if x]
-    ordered = np.sort(np.concatenate(parts)) if parts else np.empty(0, np.uint32)
-    starts, sizes = runs_of_equal(ordered)
-    shared = ordered[starts[sizes > 1]]
-    hit = np.isin(_arrays(group["block_hashes"], np.uint32), shared)
-    keys = np.concatenate([_arrays(group["block_keys"], np.int64)[hit], _arrays(group["hit_keys"], np.int64)])
-    at = np.concatenate([_arrays(group["block_at"], np.uint32)[hit], _arrays(group["hit_at"], np.uint32)])
-    return _per_key(keys, at)
+
+    def run(group: pa.Table) -> pa.Table:
+        parts = [from_planes(x, np.uint32) for x in group["hashes"].to_pylist() if x]
+        ordered = np.sort(np.concatenate(parts)) if parts else np.empty(0, np.uint32)
+        starts, sizes = runs_of_equal(ordered)
+        shared = ordered[starts[sizes > 1]]
+        hit = np.isin(_arrays(group["block_hashes"], np.uint32), shared)
+        keys = [_arrays(group["block_keys"], np.int64)[hit], _arrays(group["hit_keys"], np.int64)]
+        at = [_arrays(group["block_at"], np.uint32)[hit], _arrays(group["hit_at"], np.uint32)]
+        return _dealt(np.concatenate(keys), np.concatenate(at), buckets)
+
+    return run
 
 
 WINDOWS = pa.schema(
@@ -274,19 +300,24 @@ def _windows(buckets: int) -> Callable:
     return run
 
 
-def _repeats(group: pa.Table) -> pa.Table:
+def _repeats(buckets: int) -> Callable:
     """Windows of a bucket that occur more than once."""
-    hashes = _arrays(group["hashes"], np.uint64)
-    every = np.sort(np.concatenate([hashes, _arrays(group["shared"], np.uint64)]))
-    starts, sizes = runs_of_equal(every)
-    found = np.isin(hashes, every[starts[sizes > 1]])
-    keys = np.repeat(_arrays(group["keys"], np.int64), _arrays(group["counts"], np.uint32))
-    parts = [from_planes(x, np.uint32) for x in group["at"].to_pylist() if x]
-    at = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-    return _per_key(
-        np.concatenate([keys[found], _arrays(group["done_keys"], np.int64)]),
-        np.concatenate([at[found], _arrays(group["done_at"], np.uint32)]),
-    )
+
+    def run(group: pa.Table) -> pa.Table:
+        hashes = _arrays(group["hashes"], np.uint64)
+        every = np.sort(np.concatenate([hashes, _arrays(group["shared"], np.uint64)]))
+        starts, sizes = runs_of_equal(every)
+        found = np.isin(hashes, every[starts[sizes > 1]])
+        keys = np.repeat(_arrays(group["keys"], np.int64), _arrays(group["counts"], np.uint32))
+        parts = [from_planes(x, np.uint32) for x in group["at"].to_pylist() if x]
+        at = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        return _dealt(
+            np.concatenate([keys[found], _arrays(group["done_keys"], np.int64)]),
+            np.concatenate([at[found], _arrays(group["done_at"], np.uint32)]),
+            buckets,
+        )
+
+    return run
 
 
 def covered(starts: np.ndarray, n_words: int) -> np.ndarray:
@@ -321,14 +352,15 @@ def with_repeats(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn("repeat_key", F.xxhash64("doc_id", text))
     slim = keyed.select(F.col("repeat_key").alias("key"), text.alias("text"))
     probes = in_tasks(slim, _probes(buckets), _kinds(PROBES))
-    anchors = probes.groupBy("bucket").applyInArrow(_anchors, "key long, places array<int>")
-    anchors = anchors.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("places"))
+    anchors = probes.groupBy("bucket").applyInArrow(_anchors(buckets), PLACES)
+    anchors = anchors.groupBy("target").applyInArrow(_gathered, "key long, places array<int>")
     # the same columns in both joins, so that their exchange of the texts is one
     rows = keyed.join(anchors.hint("shuffle_hash"), F.col("repeat_key") == F.col("key"))
     rows = rows.select("key", *docs.columns, "places")
     windows = in_tasks(rows, _windows_of(docs, buckets), _kinds(WINDOWS))
-    repeats = windows.groupBy("bucket").applyInArrow(_repeats, "key long, places array<int>")
-    repeats = repeats.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("repeat_starts"))
+    repeats = windows.groupBy("bucket").applyInArrow(_repeats(buckets), PLACES)
+    repeats = repeats.groupBy("target").applyInArrow(_gathered, "key long, places array<int>")
+    repeats = repeats.withColumnRenamed("places", "repeat_starts")
     return keyed.join(repeats.hint("shuffle_hash"), F.col("repeat_key") == F.col("key"), "left").select(
         *(keyed[c] for c in docs.columns), "repeat_starts"
     )
