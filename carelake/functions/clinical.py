@@ -34,10 +34,18 @@ def known_diagnosis(code: Column) -> Column:
 
 
 def age_descriptor(age: Column) -> Column:
-    return _first_match([(age < b if b is not None else None, d) for b, d in AGE_DESCRIPTORS])
+    return F.when(age.isNotNull(), _age_text(age))
 
 
 def stay_descriptor(days: Column) -> Column:
+    return F.when(days.isNotNull(), _stay_text(days))
+
+
+def _age_text(age: Column) -> Column:
+    return _first_match([(age < b if b is not None else None, d) for b, d in AGE_DESCRIPTORS])
+
+
+def _stay_text(days: Column) -> Column:
     return _first_match([(days <= b if b is not None else None, d) for b, d in STAY_DESCRIPTORS])
 
 
@@ -60,15 +68,17 @@ def diagnosis_name(code: Column) -> Column:
 def clinical_query(
     age: Column, admission: Column, discharge: Column, diagnosis: Column
 ) -> Column:
-    """Search text for the literature on a patient like this one."""
+    """Search text for the literature on a patient like this one; null without an
+    age or a stay."""
     days = length_of_stay_days(admission.cast("date"), discharge.cast("date"))
-    return F.format_string(
+    text = F.format_string(
         CLINICAL_QUERY_FORMAT,
         age_descriptor(age),
         diagnosis_name(diagnosis),
         stay_descriptor(days),
         days,
     )
+    return F.when(age.isNotNull() & days.isNotNull(), text)
 
 
 def risk_band(probability: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import EMBEDDING_DIM
+from ..runtime import ship_package
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -58,17 +60,27 @@ def hashed_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
     return embed
 
 
+_models: dict[str, Callable[[list[str]], np.ndarray]] = {}
+
+
+def kept_model(name: str, load: Callable) -> Callable[[list[str]], np.ndarray]:
+    """The model of this worker process, loaded when it is first asked for."""
+    if name not in _models:
+        _models[name] = load()
+    return _models[name]
+
+
 def model_embedder(
     load: Callable[[], Callable[[list[str]], np.ndarray]], batch_size: int = 32
 ) -> Embedder:
-    """Any text model: ``load`` runs once per Python worker task, in the worker.
-
-    Vectors are scaled to unit length.
+    """Any text model: ``load`` runs once in each worker process, which keeps the
+    model for its later tasks. Vectors are scaled to unit length.
     """
+    name = uuid.uuid4().hex
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load()
+        model = kept_model(name, load)
         for texts in batches:
             parts = [
                 np.asarray(model(texts.iloc[i : i + batch_size].tolist()), dtype="float64")
@@ -80,6 +92,7 @@ def model_embedder(
             yield pd.Series(list(unit.astype("float32")), index=texts.index)
 
     def embed(df: DataFrame, text: str, vector: str) -> DataFrame:
+        ship_package(df.sparkSession)
         return df.withColumn(vector, encode(text))
 
     return embed

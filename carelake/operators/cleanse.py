@@ -12,7 +12,7 @@ from .dedupe import keep_latest
 
 
 def drop_missing_mrn(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("mrn").isNotNull() & (F.col("mrn") != ""))
+    return df.filter(F.col("mrn").isNotNull() & (F.col("mrn").cast("string") != ""))
 
 
 def validate_age(df: DataFrame) -> DataFrame:

@@ -67,20 +67,7 @@ def split_gold(
     MRN nor a group of equal rows meets in one task. With ``mrn_is_unique``, as
     checked by ``repeats_mrn``, no row moves at all.
     """
-    valid, invalid = split_by_rules(
-        project_patient(silver),
-        {
-            "mrn_missing": F.col("mrn").isNull(),
-            "mrn_too_long": F.length("mrn") > MAX_MRN_LENGTH,
-            "age_missing": F.col("age").isNull(),
-            "sex_missing": F.col("sex").isNull(),
-            "sex_too_long": F.length("sex") > MAX_SEX_LENGTH,
-            "admission_date_missing": F.col("admission_date").isNull(),
-            "discharge_date_missing": F.col("discharge_date").isNull(),
-            "diagnosis_too_long": F.length("primary_diagnosis") > MAX_DIAGNOSIS_LENGTH,
-            "readmitted_missing": F.col(LABEL).isNull(),
-        },
-    )
+    valid, invalid = split_by_rules(project_patient(silver), patient_rules())
     one = F.lit(1).cast("long").alias("copies")
     if mrn_is_unique:
         return valid, invalid.select("*", one)
@@ -96,6 +83,32 @@ def split_gold(
     return accepted, invalid.select("*", one).unionByName(surplus)
 
 
+def split_stored(
+    accepted: DataFrame, stored: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows whose MRN the table lacks, and the rest as ``mrn_duplicate``."""
+    known = stored.select("mrn").distinct()
+    again = accepted.join(known, "mrn", "left_semi").select(*PATIENT_COLUMNS)
+    return accepted.join(known, "mrn", "left_anti"), again.withColumns(
+        {REASONS: F.array(F.lit("mrn_duplicate")), "copies": F.lit(1).cast("long")}
+    )
+
+
+def patient_rules() -> dict[str, Column]:
+    """What a row of the patient table must not be, by the name of the rule."""
+    return {
+        "mrn_missing": F.col("mrn").isNull(),
+        "mrn_too_long": F.length("mrn") > MAX_MRN_LENGTH,
+        "age_missing": F.col("age").isNull(),
+        "sex_missing": F.col("sex").isNull(),
+        "sex_too_long": F.length("sex") > MAX_SEX_LENGTH,
+        "admission_date_missing": F.col("admission_date").isNull(),
+        "discharge_date_missing": F.col("discharge_date").isNull(),
+        "diagnosis_too_long": F.length("primary_diagnosis") > MAX_DIAGNOSIS_LENGTH,
+        "readmitted_missing": F.col(LABEL).isNull(),
+    }
+
+
 def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Scoring requests that can be scored, and the rest with reasons.
 
@@ -108,7 +121,10 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         "discharge_date": "date",
     }.items():
         if isinstance(requests.schema[name].dataType, T.StringType):
-            parsed = parsed.withColumn(name, F.col(name).try_cast(kind))
+            value = F.col(name)
+            if kind == "date":  # a year or a month alone is no date
+                value = F.when(F.trim(value).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.trim(value))
+            parsed = parsed.withColumn(name, value.try_cast(kind))
     return split_by_rules(
         parsed,
         {

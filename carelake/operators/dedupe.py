@@ -35,5 +35,7 @@ def first_query_wins(
     """An abstract found by several searches stays with the first of them."""
     rest = sorted(c for c in found.columns if c not in {"pmid", ordinal, position})
     return keep_first(
-        found, ["pmid"], [F.col(ordinal), F.col(position), *map(F.col, rest)]
+        found,
+        ["pmid"],
+        [F.col(ordinal).asc_nulls_last(), F.col(position).asc_nulls_last(), *map(F.col, rest)],
     )

@@ -2,11 +2,14 @@
 
 Rows are first added up per distinct score. Distinct scores are then cut into
 ranges by sampled boundaries, so the running totals of a curve are computed per
-range, on top of the totals of the ranges above it.
+range, on top of the totals of the ranges above it. Rows whose score is null or
+NaN, or whose label is null, have no place on a curve and are left out.
 """
 
 from __future__ import annotations
 
+from math import isfinite
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +17,6 @@ from pyspark.sql import functions as F
 from ..runtime import settle
 
 RANGES = 1024
-ONE_RANGE_SCORES = 100_000
 
 
 def binary_metrics(
@@ -22,11 +24,15 @@ def binary_metrics(
 ) -> DataFrame:
     """One row: n, n_positive, auc, precision, recall, average_precision.
 
-    AUC is null when a class is missing; the other metrics are 0 then.
+    n counts the rows that have both a score and a label. AUC is null when a class is missing; the other metrics are 0 then.
     """
     positive = F.col(label).cast("boolean")
+    known = scored.select(
+        F.col(score).cast("double").alias("score"), positive.alias("positive")
+    ).where("score is not null and not isnan(score) and positive is not null")
+    positive = F.col("positive")
     per_score = settle(
-        scored.groupBy(F.col(score).cast("double").alias("score")).agg(
+        known.groupBy("score").agg(
             F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
         )
     )
@@ -73,12 +79,9 @@ def _sum(value: str | Column) -> Column:
 
 def _with_totals_above(per_score: DataFrame) -> DataFrame:
     """Adds the positives and negatives at strictly higher scores."""
-    if per_score.count() <= ONE_RANGE_SCORES:
-        return per_score.withColumns(
-            {f"{c}_above": _total_above(c, "score") for c in ("pos", "neg")}
-        )
     shares = [i / RANGES for i in range(1, RANGES)]
-    bounds = sorted(set(per_score.approxQuantile("score", shares, 1 / (2 * RANGES))))
+    sampled = per_score.approxQuantile("score", shares, 1 / (2 * RANGES))
+    bounds = sorted({b for b in sampled if isfinite(b)}) or [0.0]
     ranged = Bucketizer(
         splits=[float("-inf"), *bounds, float("inf")], inputCol="score", outputCol="range"
     ).transform(per_score)

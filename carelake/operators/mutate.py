@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import PATIENT_COLUMNS
+from ..runtime import settle
+from .contract import REASONS, patient_rules, split_by_rules
 from .dedupe import keep_first, keep_latest
 from .ranking import number_by_digest
 
@@ -43,13 +45,20 @@ def with_ids(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
 
 
 def insert_patients(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """The stored form of a batch; fails if any MRN is not unique."""
-    taken = [r.mrn for r in duplicate_mrns(existing, batch).take(KEYS_IN_MESSAGE + 1)]
-    if taken:
-        shown = ", ".join(sorted(taken)[:KEYS_IN_MESSAGE])
-        more = ", ..." if len(taken) > KEYS_IN_MESSAGE else ""
+    """The stored form of a batch; fails if a row breaks a rule of the table or an
+    MRN is not unique. The batch is computed once."""
+    batch = settle(batch.select(*PATIENT_COLUMNS))
+    broken = split_by_rules(batch, patient_rules())[1]
+    reasons = broken.select(F.explode(REASONS).alias("reason")).groupBy("reason").count()
+    if found := reasons.orderBy("reason").collect():  # a row per rule at most
+        listed = ", ".join(f"{r['reason']} {r['count']}" for r in found)
+        raise ValueError(f"rows break the rules of the table: {listed}")
+    taken = settle(duplicate_mrns(existing, batch))
+    if total := taken.count():
+        shown = ", ".join(r.mrn for r in taken.orderBy("mrn").take(KEYS_IN_MESSAGE))
+        more = f" and {total - KEYS_IN_MESSAGE} more, see duplicate_mrns" if total > KEYS_IN_MESSAGE else ""
         raise ValueError(f"duplicate mrn: {shown}{more}")
-    return with_ids(existing, batch.select(*PATIENT_COLUMNS))
+    return with_ids(existing, batch)
 
 
 def delete_by_ids(patients: DataFrame, ids: DataFrame) -> DataFrame:

@@ -16,8 +16,10 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..runtime import settle, ship_package
 
@@ -67,7 +69,13 @@ def top_k(
 
 
 def _keyed(df: DataFrame, key: str, vector: str) -> DataFrame:
-    return df.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    """Rows that can be compared: a vector that is null or empty, or holds a null,
+    NaN or infinite number, is nobody's neighbour and finds none."""
+    rows = df.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    return rows.where(
+        """key IS NOT NULL AND size(vector) > 0 AND forall(vector, x ->
+           x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"""
+    )
 
 
 def _size(df: DataFrame) -> tuple[int, int]:
@@ -129,23 +137,35 @@ def _block_pairs(
             F.explode(F.expr(f"sequence(0L, {n_other - 1}L)")).alias(other),
         )
 
-    def nearest_in_blocks(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    schema = pa.schema(
+        [
+            pa.field("q", to_arrow_type(queries.schema["key"].dataType)),
+            pa.field("d", to_arrow_type(documents.schema["key"].dataType)),
+            pa.field("score", pa.float64()),
+        ]
+    )
+
+    def nearest_in_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
-            return pd.DataFrame({"q": [], "d": [], "score": []})
+            return schema.empty_table()
         near = best_pairs(
-            unit_rows(left["vector"]),
-            right["key"].to_numpy(),
-            unit_rows(right["vector"]),
+            unit_rows(left["vector"].to_pandas()),
+            np.array(right["key"].to_pylist(), dtype=object),
+            unit_rows(right["vector"].to_pandas()),
             k,
         )
-        return near.assign(q=left["key"].to_numpy()[near["q"]])
+        keys = left["key"].to_pylist()
+        columns = [[keys[i] for i in near["q"]], list(near["d"]), near["score"].to_numpy()]
+        return pa.Table.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
+        )
 
     left = dealt(queries, "qb", query_blocks, "db", document_blocks)
     right = dealt(documents, "db", document_blocks, "qb", query_blocks)
     return (
         left.groupBy("qb", "db")
         .cogroup(right.groupBy("qb", "db"))
-        .applyInPandas(nearest_in_blocks, _result_schema(queries, documents))
+        .applyInArrow(nearest_in_blocks, _result_schema(queries, documents))
     )
 
 

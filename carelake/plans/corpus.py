@@ -13,7 +13,7 @@ from ..operators.mutate import new_articles, replace_rows
 from ..operators.lookup import broadcast_if_small
 from ..operators.nearest import top_k
 from ..runtime import settle
-from ..schemas import ABSTRACT_SCHEMA, INDEX_SCHEMA
+from ..schemas import INDEX_SCHEMA
 from ..sources.articles import read_corpus
 from ..sources.tables import (
     create_if_absent,
@@ -64,16 +64,23 @@ def index_corpus(
 ) -> int:
     """Write a new index snapshot: the previous one with the corpus upserted.
 
-    Returns the articles read. A corpus that names a PMID twice is reduced to one
-    entry, the same on every run, before anything is embedded.
+    Returns the articles read. Of a PMID that the corpus names more than once the
+    last entry stays: the last one of the last file, by path.
     """
     if previous_path is not None and str(previous_path) == str(output_path):
         raise ValueError("a snapshot cannot replace the one it is built from")
     corpus = read_corpus(spark, corpus_path, array_file)
-    content = F.md5(F.to_json(F.struct(*ABSTRACT_SCHEMA.names)).cast("binary"))
-    points, rejected = embed_articles(
-        keep_first(corpus, ["pmid"], [content.desc()]), embedder, dim
+    # where an entry stands: its file, the split of the file, and its place in there
+    placed = corpus.select(
+        "*",
+        F.struct(
+            F.col("_metadata.file_path"),
+            F.col("_metadata.file_block_start"),
+            F.monotonically_increasing_id().alias("entry"),
+        ).alias("_place"),
     )
+    last = keep_first(placed, ["pmid"], [F.col("_place").desc()]).drop("_place")
+    points, rejected = embed_articles(last, embedder, dim)
     bad = rejected.take(1)
     if bad:
         raise ValueError(f"pmid is not a number: {bad[0].pmid!r}")
@@ -98,7 +105,7 @@ def retrieve(
     Equal texts are looked up once; blank ones find nothing.
     """
     embedder = embedder or hashed_embedder()
-    texts = queries.filter(F.trim(F.col(query)) != "").select(query).distinct()
+    texts = queries.filter(F.col(query).rlike(r"\S")).select(query).distinct()
     near = settle(
         top_k(
             embedder(texts, query, "vector"),

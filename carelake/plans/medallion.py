@@ -13,11 +13,12 @@ from ..operators.contract import (
     project_patient,
     repeats_mrn,
     split_gold,
+    split_stored,
 )
 from ..runtime import counted, settle
 from ..sources.bronze import read_bronze
 from ..sources.jdbc import write_jdbc
-from ..sources.tables import DEFAULT_FORMAT, read_table, save_table
+from ..sources.tables import DEFAULT_FORMAT, read_table, save_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -65,6 +66,8 @@ def run_gold(
 ) -> int:
     """Load the rows the patient table can hold; returns how many.
 
+    An MRN that the table has is refused on append: its row goes to quarantine.
+
     ``by_month`` partitions the files by admission month, which lets the date
     cohorts skip the months they do not ask for.
     The database is touched last, and only by rows that keep its rules, so a bad
@@ -72,6 +75,10 @@ def run_gold(
     """
     silver = read_silver(spark, silver_path, fmt)
     accepted, rejected = split_gold(silver, mrn_is_unique=not repeats_mrn(silver))
+    if mode == "append" and table_exists(spark, gold_path):
+        accepted, again = split_stored(accepted, read_table(spark, gold_path, fmt))
+        accepted, rejected = settle(accepted), rejected.unionByName(again)
+        rejected = settle(rejected)  # before the table has the new rows
     if by_month:
         accepted = with_admission_month(accepted)
     if database_url is not None:

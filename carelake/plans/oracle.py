@@ -56,7 +56,7 @@ STEPS = {
  lang AS journal, CAST(1990 + doc_id % 30 AS VARCHAR) AS year, concat_ws('|', source, lang) AS authors,
  source AS query, TRY_CAST(regexp_replace(source, '[^0-9]', '', 'g') AS INT) AS query_no, doc_id AS position
  FROM documents""",
-    "once": """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY pmid ORDER BY query_no NULLS FIRST, position) AS rn
+    "once": """SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY pmid ORDER BY query_no NULLS LAST, position NULLS LAST) AS rn
  FROM found) WHERE rn = 1""",
     "corpus": "SELECT * EXCLUDE (pmid), CAST(position AS VARCHAR) AS pmid FROM found",
     "feature": "SELECT mrn, readmitted_30d, "

@@ -12,17 +12,34 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set."""
+    """The shared folder of the cluster.
+
+    A temporary one stands in for it only where all tasks run in this process.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not runs_in_one_process(spark.sparkContext.master):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that all machines of the cluster share"
+            )
         root = tempfile.mkdtemp(prefix="carelake-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+def runs_in_one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what ``scratch_path`` named; call it when no frame needs it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark).rstrip('/')}/carelake")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/carelake/{name}-{uuid.uuid4().hex}"

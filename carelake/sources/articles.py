@@ -15,6 +15,10 @@ from ..schemas import ABSTRACT_SCHEMA, ARTICLE_SCHEMA, CORRUPT_RECORD
 # Element names of the article format.
 ARTICLE_END = "</PubmedArticle>"
 ARTICLE_START = re.compile(r"<PubmedArticle[\s>]")
+FIELD_OF = {"PMID": "pmid", "ArticleTitle": "title"}
+FIELD_INSIDE = {("Journal", "Title"): "journal", ("PubDate", "Year"): "year"}
+SECTION, SECTION_LABEL = ("Abstract", "AbstractText"), "Label"
+AUTHOR, AUTHOR_NAMES = ("AuthorList", "Author"), ("LastName", "Initials")
 
 
 def read_article_xml(
@@ -56,31 +60,38 @@ def read_article_xml(
 
 
 def parse_article(xml: str) -> dict | None:
-    """Fields of one article, or none if it has no abstract."""
-    root = ElementTree.fromstring(xml)
-
-    def first(element: ElementTree.Element, path: str) -> str:
-        return element.findtext(path, default="")
-
-    parts = []
-    for part in root.iterfind(".//Abstract/AbstractText"):
-        label, text = part.get("Label"), (part.text or "").strip()
-        parts.append(f"{label}: {text}" if label else text)
-    abstract = " ".join(filter(None, parts))
-    names = (
-        f"{first(author, 'LastName')} {first(author, 'Initials')}".strip()
-        for author in root.iterfind(".//AuthorList/Author")
-    )
+    """Fields of one article, or none if it has no abstract.
+
+    One pass over the elements as they close. A field that occurs more than once
+    keeps its first value; text inside nested markup is not part of a field.
+    """
+    parser = ElementTree.XMLPullParser(("start", "end"))
+    parser.feed(xml)
+    parser.close()
+    found: dict[str, str] = {}
+    sections: list[str] = []
+    authors: list[str] = []
+    open_tags: list[str] = [""]
+    for event, element in parser.read_events():
+        if event == "start":
+            open_tags.append(element.tag)
+            continue
+        open_tags.pop()
+        place = (open_tags[-1], element.tag)
+        text = element.text or ""
+        field = FIELD_OF.get(element.tag) or FIELD_INSIDE.get(place)
+        if field:
+            found.setdefault(field, text)
+        elif place == SECTION:
+            sections.append(": ".join(s for s in (element.get(SECTION_LABEL), text.strip()) if s is not None))
+        elif place == AUTHOR:
+            names = {part.tag: part.text or "" for part in reversed(element)}
+            authors.append(" ".join(names.get(t, "") for t in AUTHOR_NAMES).strip())
+    abstract = " ".join(s for s in sections if s)
     if not abstract:
         return None
-    return {
-        "pmid": first(root, ".//PMID"),
-        "title": first(root, ".//ArticleTitle"),
-        "abstract": abstract,
-        "journal": first(root, ".//Journal/Title"),
-        "year": first(root, ".//PubDate/Year"),
-        "authors": list(filter(None, names)),
-    }
+    fields = {name: found.get(name, "") for name in ("pmid", "title", "journal", "year")}
+    return {**fields, "abstract": abstract, "authors": [a for a in authors if a]}
 
 
 def write_corpus(abstracts: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -10,6 +10,10 @@ from ..schemas import CORRUPT_RECORD, RAW_SCHEMA
 from .tables import DEFAULT_FORMAT, read_table, save_table
 
 
+#: Codes that look like numbers stay text, so leading zeros are kept.
+TEXT_COLUMNS = [f.name for f in RAW_SCHEMA if isinstance(f.dataType, T.StringType)]
+
+
 def csv_schema() -> T.StructType:
     return T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_RECORD, T.StringType())])
 
@@ -32,7 +36,12 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_raw_csv(spark: SparkSession, input_path: str, infer: bool = False) -> DataFrame:
     files = f"{input_path}/*.csv"
     if infer:
-        return read_csv(spark, files)
+        inferred = read_csv(spark, files).schema
+        fields = [
+            T.StructField(f.name, T.StringType() if f.name in TEXT_COLUMNS else f.dataType)
+            for f in inferred
+        ]
+        return spark.read.schema(T.StructType(fields)).option("header", True).csv(files)
     return spark.read.schema(csv_schema()).options(**csv_options()).csv(files)
 
 

@@ -15,8 +15,8 @@ from carelake.sources.tables import (
 from carelake.streaming.bronze_stream import ingest_new_files
 
 HEADER = "mrn,age,sex,admission_date,discharge_date,primary_diagnosis,readmitted_30d"
-ROW_1 = "T-001,72,M,2024-01-15,2024-01-22,I50.9,true"
-ROW_2 = "T-002,65,F,2024-02-10,2024-02-13,,false"
+ROW_1 = "B-17,58,F,2023-05-03,2023-05-11,J44.9,true"
+ROW_2 = "B-18,77,M,2023-08-21,2023-08-30,,false"
 
 
 def put(folder, name, *rows, header=HEADER):
@@ -34,10 +34,10 @@ def test_rows_types_and_lineage(spark, raw, tmp_path):
     out = str(tmp_path / "bronze")
     assert ingest_raw_csv(spark, str(raw), out, mode="overwrite") == 2
     rows = {r.mrn: r for r in read_bronze(spark, out).collect()}
-    assert rows["T-001"].age == 72
-    assert rows["T-001"].admission_date == dt.date(2024, 1, 15)
-    assert rows["T-001"].readmitted_30d is True
-    assert rows["T-002"].primary_diagnosis is None
+    assert rows["B-17"].age == 58
+    assert rows["B-17"].admission_date == dt.date(2023, 5, 3)
+    assert rows["B-17"].readmitted_30d is True
+    assert rows["B-18"].primary_diagnosis is None
     assert all(r.source_file.endswith("a.csv") for r in rows.values())
     assert all(r.ingested_at is not None for r in rows.values())
 
@@ -69,12 +69,12 @@ def test_malformed_row_keeps_its_text(spark, tmp_path):
     out = str(tmp_path / "bronze")
     ingest_raw_csv(spark, str(tmp_path / "raw"), out)
     rows = {r.mrn: r[CORRUPT_RECORD] for r in read_bronze(spark, out).collect()}
-    assert rows == {"T-001": None, "T-003": bad}
+    assert rows == {"B-17": None, "T-003": bad}
 
 
 def test_swapped_header_fails(spark, tmp_path):
     header = HEADER.replace("mrn,age", "age,mrn")
-    put(tmp_path / "raw", "a.csv", "72,T-001,M,2024-01-15,2024-01-22,I50.9,true", header=header)
+    put(tmp_path / "raw", "a.csv", "58,B-17,F,2023-05-03,2023-05-11,J44.9,true", header=header)
     with pytest.raises(Exception, match="(?i)header"):
         ingest_raw_csv(spark, str(tmp_path / "raw"), str(tmp_path / "bronze"))
 

@@ -32,8 +32,8 @@ def row(mrn, age, sex, start, end, dx, label=False):
     return (mrn, age, sex, dt.date.fromisoformat(start), dt.date.fromisoformat(end), dx, label)
 
 
-HIGH = row("HIGH", 88, "M", "2024-06-01", "2024-06-18", "I50.9")
-LOW = row("LOW", 32, "F", "2024-07-01", "2024-07-02", "Z51.5")
+HIGH = row("HIGH", 91, "F", "2023-03-04", "2023-03-23", "I50.9")
+LOW = row("LOW", 27, "M", "2023-09-10", "2023-09-11", "Z51.5")
 
 
 @pytest.fixture(scope="module")

@@ -24,10 +24,9 @@ def by_hand(pairs, threshold):
     return won / (len(pos) * len(neg)), tp / len(hit), tp / len(pos), steps
 
 
-@pytest.mark.parametrize("one_range", [100_000, 5])
-def test_against_definitions(spark, monkeypatch, one_range):
-    monkeypatch.setattr(metrics, "ONE_RANGE_SCORES", one_range)
-    monkeypatch.setattr(metrics, "RANGES", 8)
+@pytest.mark.parametrize("ranges", [1024, 8, 2])
+def test_against_definitions(spark, monkeypatch, ranges):
+    monkeypatch.setattr(metrics, "RANGES", ranges)
     rng = random.Random(7)
     pairs = [(round(rng.random(), 2), rng.random() < 0.3) for _ in range(400)]
     df = spark.createDataFrame(pairs, "score double, label boolean").repartition(4)
@@ -38,6 +37,17 @@ def test_against_definitions(spark, monkeypatch, one_range):
     )
 
 
+def test_rows_without_score_or_label_are_left_out(spark):
+    pairs = [(0.1, False), (0.4, True), (0.4, False), (0.8, True), (float("inf"), False)]
+    odd = [(None, True), (float("nan"), True), (float("nan"), False), (0.9, None)]
+    df = spark.createDataFrame(pairs + odd, "score double, label boolean")
+    got = binary_metrics(df, "score", "label", 0.3).first()
+    assert (got.n, got.n_positive) == (5, 2)
+    assert (got.auc, got.precision, got.recall, got.average_precision) == pytest.approx(
+        by_hand(pairs, 0.3)
+    )
+
+
 def test_missing_classes(spark):
     df = spark.createDataFrame([(0.2, 0), (0.4, 0)], "score double, label int")
     got = binary_metrics(df, "score", "label").first()
