@@ -39,12 +39,14 @@ def train_model(
     test_size: float = 0.2,
     random_state: int = 42,
     n_estimators: int = 100,
-    max_depth: int = 10,
+    max_depth: int = 30,
+    max_bins: int = 128,
 ) -> TrainingResult:
     """Fit on a stratified part of the patients, evaluate on the rest, save.
 
     Each class weighs the same in total, so scores centre near one half and not
-    near the base rate. 128 bins keep every age apart.
+    near the base rate. Trees are as deep as the library allows unless told otherwise. 128
+    bins keep every age apart; stays of more distinct lengths need more of them.
     """
     found = patients.limit(MIN_TRAINING_ROWS).count()
     if found < MIN_TRAINING_ROWS:
@@ -74,7 +76,7 @@ def train_model(
                 predictionCol="_prediction",
                 numTrees=n_estimators,
                 maxDepth=max_depth,
-                maxBins=128,
+                maxBins=max_bins,
                 maxMemoryInMB=512,
                 featureSubsetStrategy="sqrt",
                 seed=random_state,

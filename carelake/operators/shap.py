@@ -26,7 +26,6 @@ from ..sources.tables import table_exists
 from .features import feature_names, quoted, require_features
 from .forest import load_model, model_features, predict_proba
 
-MAX_NODES = 5_000_000
 ROWS_PER_STEP = 1024
 
 
@@ -53,7 +52,9 @@ class Tree:
 
 
 def read_trees(spark: SparkSession, model_path: str) -> list[Tree]:
-    """Trees of a saved model; their number and depth are bounded by training."""
+    """Trees of a saved model, of any size that the library can load: to score, its
+    own model holds all trees on the driver and sends them to every executor too.
+    """
     if not table_exists(spark, str(model_path)):
         raise FileNotFoundError(f"no model at {model_path}; train one first")
     node = F.col("nodeData")
@@ -68,11 +69,8 @@ def read_trees(spark: SparkSession, model_path: str) -> list[Tree]:
             F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
             node["impurityStats"].alias("stats"),
         )
-        .limit(MAX_NODES + 1)
         .toPandas()
     )
-    if len(nodes) > MAX_NODES:
-        raise ValueError(f"model at {model_path} has more than {MAX_NODES} nodes")
     trees = []
     for _, part in nodes.sort_values(["tree", "id"]).groupby("tree"):
         stats = np.stack(part["stats"].to_numpy())
