@@ -22,6 +22,8 @@ POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.5}
 BUDGET = 0.75
 CYCLES = 12
 SCALINGS = 12
+#: Cells of a partition while they are raked.
+CELLS = 100_000
 NONE = "(none)"
 
 
@@ -108,6 +110,8 @@ def cell_probabilities(rows: DataFrame, budget: float = BUDGET, powers: dict[str
     """(mix_source, mix_lang, mix_topic, probability) of measured rows."""
     cells = rows.groupBy(*(F.col(f"mix_{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("mix_tokens").alias("tokens"))
     cells = settle(cells)
+    # few cells fit one partition, where raking needs no shuffle at all
+    cells = cells.coalesce(-(-max(1, cells.count()) // CELLS))
     targets = {d: tempered_targets(cells, d, powers[d]) for d in DIMENSIONS}
     fitted = probabilities(raked(cells, targets), budget)
     return fitted.select(*(F.col(d).alias(f"mix_{d}") for d in DIMENSIONS), "probability")
