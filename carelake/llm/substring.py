@@ -38,7 +38,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text for each bucket, about.
 BUCKET_BYTES = 24 << 20
 #: Windows that a task gathers before it sends them; words whose hashes it keeps.
-GATHERED, REMEMBERED = 2_000_000, 400_000
+GATHERED, REMEMBERED = 1_000_000, 200_000
 
 
 class WordHashes(dict):
