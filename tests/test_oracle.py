@@ -16,7 +16,7 @@ TYPES = {
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
 }
-TABLES = "orders documents embeddings".split()
+TABLES = "orders documents embeddings pages labels".split()
 SQL = registry.oracle_sql()
 
 
