@@ -142,8 +142,8 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Whole texts as length and digest."""
+def fingerprint(df: DataFrame, *more) -> DataFrame:
+    """Whole texts as length and digest, beside further columns."""
     return df.select(
         "pmid",
         "title",
@@ -152,6 +152,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
         "journal",
         "year",
         F.array_join("authors", "|").alias("authors"),
+        *more,
     )
 
 
@@ -679,8 +680,7 @@ def corpus_json(spark, sf_dir):
 
 
 def corpus_first_wins(spark, sf_dir):
-    once = first_query_wins(found_articles(spark, sf_dir))
-    return fingerprint(once).join(once.select("pmid", "query"), "pmid")
+    return fingerprint(first_query_wins(found_articles(spark, sf_dir)), "query")
 
 
 def corpus_new(spark, sf_dir):
@@ -745,11 +745,8 @@ def payload_defaults(spark, sf_dir):
         "abstract",
         F.when(F.col("journal") != "de", F.col("authors")).alias("authors"),
     )
-    filled = fill_payload(partial)
-    return fingerprint(filled).join(
-        filled.select("pmid", "score", citation_url(F.col("pmid")).alias("pubmed_url")),
-        "pmid",
-    )
+    url = citation_url(F.col("pmid")).alias("pubmed_url")
+    return fingerprint(fill_payload(partial), "score", url)
 
 
 def text_embedding(spark, sf_dir):

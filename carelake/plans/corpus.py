@@ -10,7 +10,7 @@ from ..functions.literature import citation_url, embedding_text, fill_payload, p
 from ..functions.vectors import Embedder, hashed_embedder
 from ..operators.dedupe import first_query_wins, keep_first
 from ..operators.mutate import new_articles, replace_rows
-from ..operators.lookup import broadcast_if_small
+from ..operators.lookup import attach, broadcast_if_small
 from ..operators.nearest import top_k
 from ..runtime import settle
 from ..schemas import INDEX_SCHEMA
@@ -118,7 +118,8 @@ def retrieve(
     documents = index.select("point_id", *[c for c in PAYLOAD if c in index.columns])
     hits = near.select("point_id").distinct()
     hit_documents = documents.join(broadcast_if_small(hits), "point_id", "left_semi")
-    found = fill_payload(near.join(hit_documents, "point_id"))
+    # an article that many queries cite is one key: broadcast, or split by AQE
+    found = fill_payload(attach(near, hit_documents, "point_id", "inner"))
     return found.select(
         query,
         "rank",
