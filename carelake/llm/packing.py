@@ -102,6 +102,21 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class Following(dict):
+    """Tokens of a word with the space before it, as packed ids, kept once made."""
+
+    def __init__(self, encode: Callable[[str], list[int]]):
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        value = self[word] = packed(self.encode(" " + word))
+        return value
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, dtype="<u4").tobytes()
+
+
 class WordTokens:
     """Token ids of texts as the tokenizer file gives them, word by word."""
 
@@ -113,23 +128,18 @@ class WordTokens:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
+        self.following = Following(self.plain.encode_ordinary)
 
     def ids(self, text: str) -> np.ndarray:
         words = text.split(" ")
         # words that are empty or have white space at an end may share a pre-token
         # with their neighbours, and special strings are one id
-        if SPECIAL in text or not all(words) or any(w[0].isspace() or w[-1].isspace() for w in words):
+        if SPECIAL in text or not all(words) or list(map(str.strip, words)) != words:
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        words = [words[0], *(" " + w for w in words[1:])]
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        for word in new:
-            known[word] = np.array(self.plain.encode_ordinary(word), dtype="<u4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4")
+        if len(self.following) > REMEMBERED:
+            self.following.clear()
+        first = packed(self.plain.encode_ordinary(words[0]))
+        return np.frombuffer(first + b"".join(map(self.following.__getitem__, words[1:])), dtype="<u4")
 
 
 @cache
