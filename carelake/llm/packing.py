@@ -16,6 +16,7 @@ over to a following space.
 from __future__ import annotations
 
 import base64
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -35,7 +36,7 @@ DIMENSIONS = 3
 ORDER = 12
 VECTOR = 256
 #: Words whose tokens a worker remembers; it then forgets all and starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 SEED = 7
 SPECIAL = "<|endoftext|>"
 
@@ -114,7 +115,7 @@ class Following(dict):
 
 
 def packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class WordTokens:
