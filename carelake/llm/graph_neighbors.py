@@ -8,7 +8,10 @@
 4. Every node is searched for in the shards of its nearest centroids: a greedy
    beam starts at the shard's medoid (and at the node itself where it is a
    member) and, once inside the range, expands every node in range.
-5. Cosines are computed in double precision, so links are verified as they are
+5. Shards that a node was not searched for in are swept: blocks of shards meet in
+   tasks that compare what neither a shard's radius nor the plane between two
+   centroids rules out, so no shard that can hold a neighbour is left out.
+6. Cosines are computed in double precision, so links are verified as they are
    found. A link counts in the neighbour's home shard alone, hence once.
 
 Shards over a bound are dealt into parts by hash, and a shard's searches into
@@ -40,6 +43,12 @@ PART, CHUNK = 4_096, 16_384
 DEGREE, POOL, ALPHA = 24, 64, 1.2
 BEAM, BATCH, WIDE = 24, 512, 8
 ROUNDS = 8
+#: Numbers in the vectors of a block of the sweep; rows of a packed slice.
+BLOCK_NUMBERS, SLICE = 1 << 20, 2_048
+#: Links that a task of the sweep holds before it contracts them.
+HELD = 1 << 20
+#: What the bounds of the sweep allow for rounding.
+SLACK = 1e-6
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -231,12 +240,14 @@ def _searched(threshold: float):
 
 
 def _routed(centroids: dict[int, np.ndarray]):
-    """Each node with the shards of its nearest centroids, nearest first."""
+    """Each node with the shards of its nearest centroids, nearest first, and its
+    cosine with the nearest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = batch["size"].to_numpy()
             shards: list = [None] * len(sizes)
+            own = np.zeros(len(sizes))
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
                 some = batch["vector"].take(pa.array(rows))
@@ -246,11 +257,14 @@ def _routed(centroids: dict[int, np.ndarray]):
                     if mine is None:  # no row of this size was in the sample
                         order = np.zeros((len(rows[at : at + 1024]), 1), dtype=np.int64)
                     else:
-                        order = np.argsort(-(vectors[at : at + 1024] @ mine.T), axis=1)[:, :SEARCH_SHARDS]
+                        near = vectors[at : at + 1024] @ mine.T
+                        order = np.argsort(-near, axis=1)[:, :SEARCH_SHARDS]
+                        own[rows[at : at + 1024]] = np.take_along_axis(near, order[:, :1], 1)[:, 0]
                     for row, near in zip(rows[at : at + 1024], order):
                         shards[row] = near
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(shards, pa.list_(pa.int64()))], [*batch.schema.names, "shards"]
+                [*batch.columns, pa.array(shards, pa.list_(pa.int64())), pa.array(own)],
+                [*batch.schema.names, "shards", "own"],
             )
 
     return run
@@ -281,8 +295,208 @@ def with_node(vectors: DataFrame) -> DataFrame:
     return rows.withColumn("node", F.when(F.coalesce(fine, F.lit(False)), F.xxhash64(plain)))
 
 
-def shard_rows(nodes: DataFrame, shard: int = SHARD, part: int = PART, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
-    """Member rows and search rows of every shard part."""
+def star_links(hits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What connects all that a Boolean matrix of links connects: (row, column)
+    and (row, row) pairs. A column that a wide row has claimed is not paired
+    again, so a dense matrix gives about one pair for each row and column."""
+    wide = hits.sum(axis=1) > 4
+    row, column = np.nonzero(hits & ~wide[:, None])
+    rows, columns, one, other = [row], [column], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    names = np.flatnonzero(wide)
+    left = hits[names]
+    while len(names):
+        mine = np.flatnonzero(left[0])
+        rows.append(np.full(len(mine), names[0]))
+        columns.append(mine)
+        met = names[1:][left[1:, mine].any(axis=1)]
+        one.append(np.full(len(met), names[0]))
+        other.append(met)
+        left[:, mine] = False
+        more = left.any(axis=1)
+        names, left = names[more], left[more]
+    return tuple(np.concatenate(x) for x in (rows, columns, one, other))
+
+
+def _packed(group: pa.Table) -> pa.Table:
+    """The nodes of a block in a row for each slice; floats stay as short as they are."""
+    rows: dict[str, list] = {"nodes": [], "copies": [], "ranks": [], "shards": [], "short": [], "vectors": []}
+    for at in range(0, len(group), SLICE):
+        some = group.slice(at, SLICE)
+        flat = some["vector"].combine_chunks().flatten().to_numpy()
+        with np.errstate(over="ignore"):
+            short = flat.astype(np.float32)
+        fits = bool((short == flat).all())
+        shards = some["shards"].combine_chunks()
+        rows["nodes"].append(some["node"].to_numpy().tobytes())
+        rows["copies"].append(some["copies"].to_numpy().tobytes())
+        rows["ranks"].append(len(shards.flatten()) // len(shards))
+        rows["shards"].append(shards.flatten().to_numpy().astype(np.int32).tobytes())
+        rows["short"].append(fits)
+        rows["vectors"].append((short if fits else flat).tobytes())
+    kinds = [pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.bool_(), pa.binary()]
+    columns = {name: pa.array(values, kind) for (name, values), kind in zip(rows.items(), kinds)}
+    keys = {name: group[name].slice(0, len(rows["nodes"])) for name in ("size", "block")}
+    return pa.table({**keys, **columns})
+
+
+PACKED = "size int, block int, nodes binary, copies binary, ranks int, shards binary, short boolean, vectors binary"
+
+
+class _Side:
+    """The nodes of a block, sorted by home shard, beside what bounds them."""
+
+    def __init__(self, group: pa.Table, size: int, centroids: np.ndarray):
+        slices = group.to_pylist()
+        shards = np.concatenate([np.frombuffer(x["shards"], np.int32).reshape(-1, x["ranks"]) for x in slices])
+        order = np.argsort(shards[:, 0], kind="stable")
+        self.shards = shards[order]
+        self.nodes = np.concatenate([np.frombuffer(x["nodes"], np.int64) for x in slices])[order]
+        self.copies = np.concatenate([np.frombuffer(x["copies"], np.int64) for x in slices])[order]
+        kinds = {True: np.float32, False: np.float64}
+        vectors = [np.frombuffer(x["vectors"], kinds[x["short"]]).astype(np.float64) for x in slices]
+        self.vectors = unit(np.concatenate(vectors).reshape(-1, size))[order]
+        self.homes, starts = np.unique(self.shards[:, 0], return_index=True)
+        self.spans = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(order)])]
+        self.own = np.einsum("ij,ij->i", self.vectors, centroids[self.shards[:, 0]])
+        self.radius = [np.arccos(np.clip(self.own[x].min(), -1, 1)) for x in self.spans]
+        self.counts = np.zeros(len(order), np.int64)
+
+    def within_reach(self, span: slice, near: np.ndarray, radius: float, apart: float, threshold: float) -> np.ndarray:
+        """Places in the span that can have a neighbour in a shard: ``near`` are the
+        cosines with its centroid, ``apart`` is how far the two centroids are apart."""
+        angle = np.arccos(np.clip(near, -1, 1))
+        reach = np.sqrt(max(0.0, 2 - 2 * threshold))
+        fine = (angle <= radius + np.arccos(threshold) + SLACK) & (self.own[span] - near <= reach * apart + SLACK)
+        return span.start + np.flatnonzero(fine)
+
+
+def _swept(centroids: dict[int, np.ndarray], threshold: float):
+    """Counts and spanning links between two blocks, for shards not searched."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        size, i, j = (k.as_py() for k in key)
+        mine = centroids[size]
+        blocks = group["block"].to_numpy()
+        left = _Side(group.take(pa.array(np.flatnonzero(blocks == i))), size, mine)
+        right = left if i == j else _Side(group.take(pa.array(np.flatnonzero(blocks == j))), size, mine)
+        near_right = left.vectors @ mine[right.homes].T
+        near_left = near_right if i == j else right.vectors @ mine[left.homes].T
+        a, b, held = [], [], 0
+        for x, one in enumerate(left.homes):
+            for y, other in enumerate(right.homes):
+                if one == other and i != j:  # a shard in several blocks is searched as a whole
+                    continue
+                if i == j and y <= x:
+                    continue
+                apart = float(np.linalg.norm(mine[one] - mine[other]))
+                span, across = left.spans[x], right.spans[y]
+                rows = left.within_reach(span, near_right[span, y], right.radius[y], apart, threshold)
+                columns = right.within_reach(across, near_left[across, x], left.radius[x], apart, threshold)
+                ask = ~(left.shards[rows] == other).any(axis=1)
+                asked = ~(right.shards[columns] == one).any(axis=1)
+                if not len(rows) or not len(columns) or not (ask.any() or asked.any()):
+                    continue
+                hits = left.vectors[rows] @ right.vectors[columns].T >= threshold
+                r, c = hits.any(axis=1), hits.any(axis=0)
+                if not r.any():
+                    continue
+                hits, rows, columns, ask, asked = hits[np.ix_(r, c)], rows[r], columns[c], ask[r], asked[c]
+                left.counts[rows] += np.where(ask, hits @ right.copies[columns], 0)
+                right.counts[columns] += np.where(asked, left.copies[rows] @ hits, 0)
+                p, q, s, t = star_links(hits)
+                a += [left.nodes[rows[p]], left.nodes[rows[s]]]
+                b += [right.nodes[columns[q]], left.nodes[rows[t]]]
+                held += len(p) + len(s)
+                if held > HELD:
+                    ends, low = local_stars(np.concatenate(a), np.concatenate(b))
+                    a, b, held = [ends[ends != low]], [low[ends != low]], 0
+        if a:
+            ends, low = local_stars(np.concatenate(a), np.concatenate(b))
+            a, b = ends[ends != low], low[ends != low]
+        a, b = np.asarray(a, dtype=np.int64), np.asarray(b, dtype=np.int64)
+        sides = [left] if i == j else [left, right]
+        who = np.concatenate([x.nodes[x.counts > 0] for x in sides])
+        how_many = np.concatenate([x.counts[x.counts > 0] for x in sides])
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([who, a])),
+                "b": pa.concat_arrays([pa.nulls(len(who), pa.int64()), pa.array(b, pa.int64())]),
+                "n": pa.concat_arrays([pa.array(how_many, pa.int64()), pa.nulls(len(a), pa.int64())]),
+            }
+        )
+
+    return run
+
+
+def block_plan(
+    shards: np.ndarray, counts: np.ndarray, radius: np.ndarray, centroids: np.ndarray, rows: int, threshold: float
+) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """(shard, first block, blocks) of each shard, and the pairs of blocks that can
+    hold a link between different shards. Near shards share blocks of about ``rows``
+    nodes; a larger shard is dealt over several."""
+    mine = centroids[shards]
+    around = mine - mine.mean(axis=0)
+    order = np.argsort(around @ np.linalg.svd(around, full_matrices=False)[2][0], kind="stable")
+    dealt, members, filled = [], [], rows
+    for at in order:
+        n = -(-int(counts[at]) // rows)
+        if filled + counts[at] > rows:
+            members += [[] for _ in range(n)]
+            filled = 0
+            dealt.append((int(shards[at]), len(members) - n, n))
+        else:
+            dealt.append((int(shards[at]), len(members) - 1, 1))
+        filled += counts[at]
+        for block in members[dealt[-1][1] :]:
+            block.append(at)
+    angle = np.arccos(np.clip(mine @ mine.T, -1, 1))
+    can = angle <= radius[:, None] + radius[None, :] + np.arccos(threshold) + SLACK
+    np.fill_diagonal(can, False)
+    pairs = [
+        (i, j) for i in range(len(members)) for j in range(i, len(members)) if can[np.ix_(members[i], members[j])].any()
+    ]
+    return dealt, pairs
+
+
+def swept_links(
+    routed: DataFrame, centroids: dict[int, np.ndarray], threshold: float, numbers: int = BLOCK_NUMBERS
+) -> DataFrame | None:
+    """(a, b, n) like the searches give, from the shards that each node was not
+    searched for in; None if every node was searched for in all shards."""
+    many = [size for size, mine in centroids.items() if len(mine) > SEARCH_SHARDS]
+    if not many:
+        return None
+    spark = routed.sparkSession
+    homes = routed.where(F.col("size").isin(many)).withColumn("shard", F.element_at("shards", 1))
+    stats = homes.groupBy("size", "shard").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("own"))
+    by_size: dict[int, list] = {}
+    for row in stats.collect():  # a row for each centroid at most
+        by_size.setdefault(row["size"], []).append((row["shard"], row["n"], row["own"]))
+    dealt, meetings = [], []
+    for size, rows in by_size.items():
+        shards, counts, own = (np.array(x) for x in zip(*rows))
+        radius = np.arccos(np.clip(own, -1, 1))
+        places, pairs = block_plan(shards, counts, radius, centroids[size], max(1, numbers // size), threshold)
+        dealt += [(size, *place) for place in places]
+        meetings += [(size, block, i, j) for i, j in pairs for block in sorted({i, j})]
+    if not meetings:
+        return None
+    places = spark.createDataFrame(dealt, "size int, shard long, base int, blocks int")
+    block = (F.col("base") + F.pmod(F.xxhash64("node", F.lit(4)), "blocks")).cast("int")
+    homes = homes.join(F.broadcast(places), ["size", "shard"]).select(
+        "size", block.alias("block"), "node", "copies", "vector", "shards"
+    )
+    packed = homes.groupBy("size", "block").applyInArrow(_packed, PACKED)
+    met = packed.join(
+        F.broadcast(spark.createDataFrame(meetings, "size int, block int, i int, j int")), ["size", "block"]
+    )
+    return met.groupBy("size", "i", "j").applyInArrow(_swept(centroids, threshold), "a long, b long, n long")
+
+
+def shard_rows(
+    nodes: DataFrame, shard: int = SHARD, part: int = PART, chunk: int = CHUNK
+) -> tuple[DataFrame, DataFrame, DataFrame, dict[int, np.ndarray]]:
+    """Member rows and search rows of every shard part, routed nodes and centroids."""
     n = nodes.count()
     share = min(1.0, SAMPLE / max(1, n))
     drawn = nodes.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1_000_003)) < share * 1_000_003)
@@ -293,7 +507,7 @@ def shard_rows(nodes: DataFrame, shard: int = SHARD, part: int = PART, chunk: in
     centroids = {
         size: spherical_centroids(unit(np.array(rows)), max(1, min(len(rows), k))) for size, rows in sample.items()
     }
-    kinds = "node long, copies long, size int, vector array<double>, shards array<long>"
+    kinds = "node long, copies long, size int, vector array<double>, shards array<long>, own double"
     routed = in_tasks(nodes.select("node", "copies", "size", "vector"), _routed(centroids), kinds)
     placed = routed.select(
         "node", "copies", "size", "vector", F.posexplode("shards").alias("rank", "shard")
@@ -311,11 +525,16 @@ def shard_rows(nodes: DataFrame, shard: int = SHARD, part: int = PART, chunk: in
     placed = placed.join(F.broadcast(counts), ["size", "shard"])
     placed = placed.withColumn("own_part", F.pmod(F.xxhash64("node", F.lit(2)), "parts"))
     members = placed.where(member).withColumn("home", F.col("rank") == 0)
-    return members, placed
+    return members, placed, routed, centroids
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = THRESHOLD, shard: int = SHARD, part: int = PART, chunk: int = CHUNK
+    vectors: DataFrame,
+    threshold: float = THRESHOLD,
+    shard: int = SHARD,
+    part: int = PART,
+    chunk: int = CHUNK,
+    numbers: int = BLOCK_NUMBERS,
 ) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of (vec_id, embedding).
 
@@ -329,7 +548,7 @@ def near_vectors(
     ship_package(vectors.sparkSession)
     rows = with_node(vectors)
     nodes = settle(distinct_nodes(rows))
-    members, placed = shard_rows(nodes, shard, part, chunk)
+    members, placed, routed, centroids = shard_rows(nodes, shard, part, chunk)
     built = members.groupBy("size", "shard", "own_part").applyInArrow(
         lambda group: _adjacency(group.select(["node", "vector"])), "node long, neighbours array<long>"
     )
@@ -348,7 +567,8 @@ def near_vectors(
     )
     keys = ["size", "shard", "part", "chunk"]
     searched = inside.union(asked).groupBy(*keys).applyInArrow(_searched(threshold), "a long, b long, n long")
-    found = settle(searched)
+    swept = swept_links(routed, centroids, threshold, numbers)
+    found = settle(searched if swept is None else searched.union(swept))
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     labels = connected_components(found.where("b is not null").select("a", "b"))
     groups = nodes.select("node", "first", "copies").join(links, "node", "left").join(labels, "node", "left")

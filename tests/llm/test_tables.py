@@ -138,6 +138,36 @@ def test_links_match_brute_force(spark, sizes):
     assert true > 0 and found >= 0.9 * true
 
 
+def test_a_dense_group_over_many_shards_is_found_whole(spark):
+    rng = np.random.default_rng(2)
+    base = rng.standard_normal(32)
+    rows = [base + 0.15 * rng.standard_normal(32) for _ in range(1200)] + list(rng.standard_normal((2400, 32)))
+    units = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = (units @ units.T >= 0.9).sum(axis=1) - 1
+    assert near[:1200].min() > 1000
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    # shards of about 15, blocks of 600 nodes
+    judged = graph_neighbors.near_vectors(frame, shard=15, numbers=600 * 32).cache()
+    nodes = graph_neighbors.distinct_nodes(graph_neighbors.with_node(frame))
+    homes = graph_neighbors.shard_rows(nodes, 15)[0].where("home").join(nodes.where("first < 1200").select("node"), "node")
+    assert homes.select("shard").distinct().count() >= 25
+    found, true = graph_neighbors.audit_recall(frame, judged, every=7)
+    assert true > 100_000 and found <= true and found >= 0.99 * true
+    assert {r.component_id for r in judged.where("vec_id < 1200").collect()} == {0}
+
+
+def test_star_links_connect_what_all_links_connect():
+    draw = np.random.default_rng(4)
+    for share in (0.01, 0.1, 0.6):
+        hits = draw.random((60, 50)) < share
+        row, column, one, other = graph_neighbors.star_links(hits)
+        assert hits[row, column].all()
+        r, c = np.nonzero(hits)
+        want = graph_neighbors.local_stars(r, c + 60)
+        got = graph_neighbors.local_stars(np.concatenate([row, one]), np.concatenate([column + 60, other]))
+        assert [x.tolist() for x in got] == [x.tolist() for x in want]
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert graph_neighbors.near_vectors(frame).count() == 0
