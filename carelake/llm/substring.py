@@ -105,6 +105,15 @@ def runs_of_equal(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.diff(np.append(starts, len(ordered)))
 
 
+def distinct_places(keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each (key, place) once, sorted: equal rows share their key and all places."""
+    order = np.lexsort((at, keys))
+    keys, at = keys[order], at[order]
+    fresh = np.ones(len(keys), dtype=bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])
+    return keys[fresh], at[fresh]
+
+
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
@@ -139,7 +148,8 @@ def _probes(buckets: int) -> Callable:
         repeated = np.repeat(sizes > 1, sizes)
         again = order[repeated]
         again = again[at[again] % BLOCK == 0]
-        row = {"bucket": task % buckets, "hit_keys": keys[again].tobytes(), "hit_at": at[again].tobytes()}
+        hit_keys, hit_at = distinct_places(keys[again], at[again])
+        row = {"bucket": task % buckets, "hit_keys": hit_keys.tobytes(), "hit_at": hit_at.tobytes()}
         yield _batch([row], PROBES)
         first = order[starts]
         alone = sizes == 1
@@ -187,9 +197,10 @@ PLACES = "target int, keys binary, counts binary, places binary"
 
 
 def _dealt(keys: np.ndarray, at: np.ndarray, buckets: int) -> pa.Table:
-    """Places packed by where their documents are gathered, not a row for each."""
+    """Distinct places packed by where their documents are gathered, not a row for each."""
+    keys, at = distinct_places(keys, at)
     target = (keys.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((keys, target))
+    order = np.argsort(target, kind="stable")
     target, keys, at = target[order], keys[order], at[order].astype(np.uint32)
     rows: dict[str, list] = {"keys": [], "counts": [], "places": []}
     starts, sizes = runs_of_equal(target)
@@ -204,14 +215,13 @@ def _dealt(keys: np.ndarray, at: np.ndarray, buckets: int) -> pa.Table:
 
 
 def _gathered(group: pa.Table) -> pa.Table:
-    """(key, places) of the documents of a target, each once."""
+    """(key, places) of the documents of a target, each document and place once."""
     keys = np.repeat(_arrays(group["keys"], np.int64), _arrays(group["counts"], np.uint32))
-    at = _arrays(group["places"], np.uint32)
-    order = np.argsort(keys, kind="stable")
-    starts, _ = runs_of_equal(keys[order])
-    offsets = np.append(starts, len(order)).astype(np.int32)
-    places = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at[order].astype(np.int32)))
-    return pa.table({"key": pa.array(keys[order][starts], pa.int64()), "places": places})
+    keys, at = distinct_places(keys, _arrays(group["places"], np.uint32))
+    starts, _ = runs_of_equal(keys)
+    offsets = np.append(starts, len(keys)).astype(np.int32)
+    places = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at.astype(np.int32)))
+    return pa.table({"key": pa.array(keys[starts], pa.int64()), "places": places})
 
 
 def _anchors(buckets: int) -> Callable:
@@ -249,11 +259,8 @@ def _windows(buckets: int) -> Callable:
         order = np.argsort(hashes)
         starts, sizes = runs_of_equal(hashes[order])
         repeated = order[np.repeat(sizes > 1, sizes)]
-        row = {
-            "bucket": task % buckets,
-            "done_keys": keys[docs[repeated]].tobytes(),
-            "done_at": at[repeated].tobytes(),
-        }
+        done_keys, done_at = distinct_places(keys[docs[repeated]], at[repeated])
+        row = {"bucket": task % buckets, "done_keys": done_keys.tobytes(), "done_at": done_at.tobytes()}
         yield _batch([row], WINDOWS)
         shared = hashes[order[starts[sizes > 1]]]
         alone = np.sort(order[starts[sizes == 1]])  # by document again

@@ -78,3 +78,24 @@ def test_any_window_holds_one_aligned_block():
         inside = [b for b in range(0, 300, substring.BLOCK) if start <= b and b + substring.BLOCK <= start + 35]
         assert len(inside) == 1
         assert start in substring.around(np.array(inside), 400)
+
+
+def test_equal_rows_send_each_place_once(make):
+    words = [f"w{i}" for i in range(180)]
+    docs = make([(7, " ".join(words))] * 200).coalesce(1)
+    slim = docs.selectExpr("xxhash64(doc_id, text) AS key", "text")
+    probes = substring.in_tasks(slim, substring._probes(4), substring._kinds(substring.PROBES)).collect()
+    assert sum(len(r.hit_at or b"") for r in probes) == 4 * 10  # ten blocks of 18 words, not 200 times ten
+    places = substring.in_tasks(
+        slim.selectExpr("*", "array(0, 18, 36) AS places"), substring._windows(4), substring._kinds(substring.WINDOWS)
+    ).collect()
+    done = b"".join(r.done_at or b"" for r in places)
+    assert len(done) == 4 * len(substring.around(np.array([0, 18, 36]), 180))
+
+
+def test_places_are_dealt_and_gathered_once():
+    keys, at = np.array([5, 5, -3, 5, -3], dtype=np.int64), np.array([9, 2, 9, 9, 9], dtype=np.uint32)
+    dealt = substring._dealt(keys, at, 2)
+    assert sum(len(x) for x in dealt["places"].to_pylist()) == 4 * 3
+    twice = substring.pa.concat_tables([dealt, dealt])
+    assert {r["key"]: r["places"] for r in substring._gathered(twice).to_pylist()} == {5: [2, 9], -3: [9]}
