@@ -58,3 +58,21 @@ def attach_small(rows: DataFrame, lookup: DataFrame, on: str, how: str = "left")
     """Join a table with unique keys: broadcast if it measures small, else a
     shuffle whose hot partitions AQE splits."""
     return rows.join(broadcast_if_small(settle(lookup), BROADCAST_BYTES), on, how)
+
+
+#: A DuckDB table of one row, whose list ``t`` holds the checksum of each byte.
+CRC_TABLE_SQL = """crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+      lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS bytes(i)
+  )
+)"""
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a string's bytes in DuckDB, beside CRC_TABLE_SQL."""
+    code = f"('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT"
+    codes = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: {code})"
+    step = "xor(c >> 8, crc_table.t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {step}), 4294967295)"

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import graph_neighbors, language, mixing, packing, quality, simhash, substring, token_count, toxicity, url_filter
+from . import (
+    block_neighbors,
+    graph_neighbors,
+    language,
+    merkle,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    spelling,
+    substring,
+    token_count,
+    toxicity,
+    url_filter,
+)
 from .common import table, tokenizer_file
 from .pipeline import packing_files
 
@@ -57,6 +71,20 @@ def simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def neighbors_int8_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return block_neighbors.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def spelling_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def merkle_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
 QUERIES = {
     "op1_toxicity_nb_ngrams": toxicity_nb_ngrams,
     "op2_mixing_raked": mixing_raked,
@@ -68,11 +96,17 @@ QUERIES = {
     "op8_language_evidence": language_evidence,
     "op9_embedding_pruned_graph": embedding_pruned_graph,
     "op10_simhash_golay": simhash_golay,
+    "op11_neighbors_int8_blocks": neighbors_int8_blocks,
+    "op12_spelling_reduced_alphabet": spelling_reduced_alphabet,
+    "op13_merkle_pointer_jumping": merkle_pointer_jumping,
 }
 
 #: Oracles in DuckDB's SQL.
 ORACLE = {
     "op2_mixing_raked": mixing.oracle(),
+    "op11_neighbors_int8_blocks": block_neighbors.ORACLE,
+    "op12_spelling_reduced_alphabet": spelling.oracle(),
+    "op13_merkle_pointer_jumping": merkle.oracle(),
     "op5_url_temporal_lists": r"""
 WITH captures AS (
   SELECT page_id, url,
