@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterator
+from hashlib import md5
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -60,6 +64,51 @@ def hashed_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
     return embed
 
 
+#: Words whose place a worker remembers; it then forgets all and starts anew.
+REMEMBERED_WORDS = 200_000
+WORD_BREAK = r"[^a-z0-9]+"
+
+
+def digest_place(word: str, dim: int) -> tuple[int, int]:
+    """Place and sign of a word, both read off its MD5 text."""
+    digest = md5(word.encode()).hexdigest()
+    return int(digest[:8], 16) % dim, 1 if int(digest[8], 16) % 2 == 0 else -1
+
+
+def digest_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
+    """Signed word counts scaled to unit length. Words are the runs of letters a-z and
+    digits of the lower-cased text (only A-Z are lower-cased); place and sign come from
+    their MD5, so any engine can repeat the vectors. A text without words, or whose
+    words cancel out, has the zero vector; null counts as empty.
+    """
+
+    @F.pandas_udf("array<float>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, tuple[int, int]] = {}
+        small = str.maketrans(ascii_uppercase, ascii_lowercase)
+        for texts in batches:
+            vectors = []
+            for text in texts:
+                counts = np.zeros(dim)
+                for word, n in Counter(re.split(WORD_BREAK, (text or "").translate(small))).items():
+                    if word:
+                        if word not in known:
+                            if len(known) >= REMEMBERED_WORDS:
+                                known.clear()
+                            known[word] = digest_place(word, dim)
+                        place, sign = known[word]
+                        counts[place] += sign * n
+                norm = np.sqrt((counts * counts).sum())
+                vectors.append((counts / norm if norm else counts).astype("float32"))
+            yield pd.Series(vectors, index=texts.index)
+
+    def embed(df: DataFrame, text: str, vector: str) -> DataFrame:
+        ship_package(df.sparkSession)
+        return df.withColumn(vector, encode(text))
+
+    return embed
+
+
 _models: dict[str, Callable[[list[str]], np.ndarray]] = {}
 
 

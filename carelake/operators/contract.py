@@ -35,13 +35,18 @@ def split_by_rules(
     rejected rows get the array of names.
     """
     breaks = reduce(or_, map(_holds, rules.values()))
-    names = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
     return (
         df.filter(~breaks),
-        df.filter(breaks).withColumn(REASONS, F.array_compact(names)),
+        df.filter(breaks).withColumn(REASONS, broken_rules(rules)),
     )
 
 
+def broken_rules(rules: dict[str, Column]) -> Column:
+    """Names of the rules that a row breaks."""
+    names = [F.when(broken, F.lit(name)) for name, broken in rules.items()]
+    return F.array_compact(F.array(*names))
+
+
 def project_patient(silver: DataFrame) -> DataFrame:
     """The patient columns in table order, without lineage."""
     return silver.select(*PATIENT_COLUMNS)

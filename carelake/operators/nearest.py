@@ -17,9 +17,9 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ..runtime import settle, ship_package
 
@@ -68,16 +68,20 @@ def top_k(
     )
 
 
-def _keyed(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """Rows that can be compared: a vector that is null or empty, or holds a null,
+def comparable(key: str, vector: str) -> Column:
+    """Whether a row can be compared: a vector that is null or empty, or holds a null,
     NaN or infinite number, is nobody's neighbour and finds none."""
-    rows = df.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
-    return rows.where(
-        """key IS NOT NULL AND size(vector) > 0 AND forall(vector, x ->
+    return F.expr(
+        f"""{key} IS NOT NULL AND size({vector}) > 0 AND forall({vector}, x ->
            x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"""
     )
 
 
+def _keyed(df: DataFrame, key: str, vector: str) -> DataFrame:
+    rows = df.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
+    return rows.where(comparable("key", "vector"))
+
+
 def _size(df: DataFrame) -> tuple[int, int]:
     row = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
     return row.n, row.dim or 0
@@ -137,35 +141,34 @@ def _block_pairs(
             F.explode(F.expr(f"sequence(0L, {n_other - 1}L)")).alias(other),
         )
 
-    schema = pa.schema(
-        [
-            pa.field("q", to_arrow_type(queries.schema["key"].dataType)),
-            pa.field("d", to_arrow_type(documents.schema["key"].dataType)),
-            pa.field("score", pa.float64()),
-        ]
-    )
-
-    def nearest_in_blocks(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not len(left) or not len(right):
-            return schema.empty_table()
-        near = best_pairs(
-            unit_rows(left["vector"].to_pandas()),
-            np.array(right["key"].to_pylist(), dtype=object),
-            unit_rows(right["vector"].to_pandas()),
-            k,
-        )
-        keys = left["key"].to_pylist()
-        columns = [[keys[i] for i in near["q"]], list(near["d"]), near["score"].to_numpy()]
-        return pa.Table.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-        )
-
     left = dealt(queries, "qb", query_blocks, "db", document_blocks)
     right = dealt(documents, "db", document_blocks, "qb", query_blocks)
     return (
         left.groupBy("qb", "db")
         .cogroup(right.groupBy("qb", "db"))
-        .applyInArrow(nearest_in_blocks, _result_schema(queries, documents))
+        .applyInArrow(
+            lambda left, right: block_result(left, right, k), _result_schema(queries, documents)
+        )
+    )
+
+
+def block_result(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
+    """(q, d, score) of the k best rows of one block for each query of another."""
+    keys, others = left["key"].combine_chunks(), right["key"].combine_chunks()
+    if not len(left) or not len(right):
+        pairs = pd.DataFrame({"q": np.zeros(0, "int64"), "d": np.zeros(0, "int64"), "score": np.zeros(0)})
+    else:
+        queries, documents = (unit_rows(t["vector"].to_pandas()) for t in (left, right))
+        # places in key order, so that equal scores rank by key
+        order = pc.sort_indices(others)
+        others, documents = others.take(order), documents[order.to_numpy()]
+        pairs = best_pairs(queries, np.arange(len(others)), documents, k)
+    return pa.table(
+        {
+            "q": keys.take(pa.array(pairs["q"].to_numpy())),
+            "d": others.take(pa.array(pairs["d"].to_numpy())),
+            "score": pa.array(pairs["score"].to_numpy(), pa.float64()),
+        }
     )
 
 

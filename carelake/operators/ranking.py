@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import settle
+from .lookup import broadcast_if_small
+
 PREFIX_DIGITS = 4
 
 
@@ -84,3 +87,23 @@ def stratified_split(
         )
         .select(*df.columns, "is_test")
     )
+
+
+def with_positions(rows: DataFrame, name: str = "position") -> DataFrame:
+    """Dense positions, from 0, of rows read from files: by path, and by place within
+    the file. Rows stay in their partitions: the only thing sorted is one row per file
+    split. ``rows`` is a read of files, with no shuffle in between."""
+    placed = settle(
+        rows.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+    )
+    # numbers run through the splits of a partition one after the other
+    splits = placed.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    moved = splits.select("_file", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_move"))
+    met = placed.join(broadcast_if_small(settle(moved)), ["_file", "_start"])
+    return met.withColumn(name, F.col("_row") + F.col("_move")).select(*rows.columns, name)

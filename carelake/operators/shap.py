@@ -12,21 +12,24 @@ vector is explained once and joined back to its patients.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import ship_package
-from ..sources.tables import table_exists
+from ..runtime import settle, ship_package
 from .features import feature_names, quoted, require_features
-from .forest import load_model, model_features, predict_proba
+from .forest import load_model, model_features
+from .forest_rows import ROOT, positive_share, read_nodes
 
 ROWS_PER_STEP = 1024
+#: Distinct vectors in a block, and node rows in a group of more than one tree.
+ROWS_PER_BLOCK = 4096
+NODES_PER_GROUP = 100_000
 
 
 @dataclass(frozen=True)
@@ -51,34 +54,18 @@ class Tree:
         )
 
 
-def read_trees(spark: SparkSession, model_path: str) -> list[Tree]:
-    """Trees of a saved model, of any size that the library can load: to score, its
-    own model holds all trees on the driver and sends them to every executor too.
-    """
-    if not table_exists(spark, str(model_path)):
-        raise FileNotFoundError(f"no model at {model_path}; train one first")
-    node = F.col("nodeData")
-    nodes = (
-        spark.read.parquet(f"{model_path}/stages/*RandomForestClassifier*/data")
-        .select(
-            F.col("treeID").alias("tree"),
-            node["id"].alias("id"),
-            node["leftChild"].alias("left"),
-            node["rightChild"].alias("right"),
-            node["split"]["featureIndex"].alias("feature"),
-            F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-            node["impurityStats"].alias("stats"),
-        )
-        .toPandas()
-    )
+def trees_of(nodes: pd.DataFrame) -> list[Tree]:
+    """Flat trees from node rows."""
     trees = []
-    for _, part in nodes.sort_values(["tree", "id"]).groupby("tree"):
+    for _, part in nodes.sort_values(["tree", "node"]).groupby("tree"):
         stats = np.stack(part["stats"].to_numpy())
+        # the rows of a tree by place: node numbers may have gaps
+        place = pd.Series(np.arange(len(part)), index=part["node"].to_numpy())
         cover = stats.sum(axis=1)
         trees.append(
             Tree(
-                left=part["left"].to_numpy(),
-                right=part["right"].to_numpy(),
+                left=part["left"].map(place).fillna(-1).to_numpy(dtype="int64"),
+                right=part["right"].map(place).fillna(-1).to_numpy(dtype="int64"),
                 feature=part["feature"].to_numpy(),
                 threshold=part["threshold"].to_numpy(dtype="float64"),
                 cover=cover,
@@ -133,21 +120,55 @@ def tree_contributions(tree: Tree, rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def tree_scores(tree: Tree, rows: np.ndarray) -> np.ndarray:
+    """Value of the leaf that each row reaches."""
+    at = np.zeros(len(rows), dtype="int64")
+    while True:
+        inner = np.nonzero(tree.left[at] >= 0)[0]
+        if not len(inner):
+            return tree.value[at]
+        node = at[inner]
+        goes_left = rows[inner, tree.feature[node]] <= tree.threshold[node]
+        at[inner] = np.where(goes_left, tree.left[node], tree.right[node])
+
+
 def forest_contributions(trees: list[Tree], rows: np.ndarray) -> np.ndarray:
     return np.mean([tree_contributions(tree, rows) for tree in trees], axis=0)
 
 
 class Explainer:
-    """A loaded model with its trees on every executor."""
+    """Explains by the node rows of a forest; they stay a table.
 
-    def __init__(self, spark: SparkSession, model_path: str):
+    The work is dealt as (group of trees, block of distinct vectors): a task gets the
+    node rows of its trees and the vectors of its block, and passes on the sums over
+    its trees, which are added up per vector by a partial aggregate.
+    """
+
+    def __init__(
+        self, spark: SparkSession, model_path: str | None = None, nodes: DataFrame | None = None
+    ):
+        """Of a saved model, or of ``nodes`` (see ``forest_rows``) over the feature list."""
         ship_package(spark)
-        self.model: PipelineModel = load_model(spark, model_path)
-        self.features = model_features(self.model)
-        require_features(feature_names(), self.features)
-        trees = read_trees(spark, model_path)
-        self.baseline = baseline(trees)
-        self._trees = spark.sparkContext.broadcast(trees)
+        if nodes is None:
+            self.features = model_features(load_model(spark, model_path))
+            require_features(feature_names(), self.features)
+            nodes = read_nodes(spark, model_path)
+        else:
+            self.features = feature_names()
+        self.nodes = nodes
+        root = F.when(F.col("node") == ROOT, positive_share(F.col("stats")))
+        found = nodes.agg(
+            F.avg(root).alias("baseline"),
+            F.count(root).alias("trees"),
+            F.count(F.lit(1)).alias("nodes"),
+            F.count_if(F.col("stats")[0] + F.col("stats")[1] <= 0).alias("empty"),
+        ).first()
+        if found.empty:
+            raise ValueError(f"{found.empty} nodes have no training weight; prune them first")
+        #: Score expected when nothing is known of the row.
+        self.baseline: float = found.baseline
+        self.n_trees: int = found.trees
+        self._n_nodes: int = found.nodes
 
     def values_column(self) -> Column:
         """A row's feature values in order, the key of its explanation."""
@@ -155,31 +176,54 @@ class Explainer:
 
     def explain_features(self, features: DataFrame) -> DataFrame:
         """One row per distinct feature vector: values, probability, shap."""
-        shared = self._trees
-
-        @F.pandas_udf("array<double>")
-        def contributions(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for values in batches:
-                rows = np.stack(values.to_numpy()) if len(values) else np.zeros((0, 1))
-                steps = [
-                    forest_contributions(shared.value, rows[at : at + ROWS_PER_STEP])
-                    for at in range(0, len(rows), ROWS_PER_STEP)
-                ]
-                yield pd.Series([v for step in steps for v in step], index=values.index)
-
         spark = features.sparkSession
+        distinct = features.select(self.values_column().alias("values")).distinct()
+        vectors = settle(distinct.withColumn("vector", F.monotonically_increasing_id()))
         tasks = max(
             int(spark.conf.get("spark.sql.shuffle.partitions")),
             spark.sparkContext.defaultParallelism,
         )
-        # distinct rows are few bytes but much work: keep AQE from merging them
-        distinct = features.select(*map(quoted, self.features)).distinct()
-        distinct = distinct.repartition(tasks, *map(quoted, self.features))
-        return predict_proba(distinct, self.model).select(
-            self.values_column().alias("values"),
-            "probability",
-            contributions(self.values_column()).alias("shap"),
+        blocks = max(1, ceil(vectors.count() / ROWS_PER_BLOCK))
+        # few vectors: more groups of trees; large trees: groups of bounded size
+        groups = max(ceil(tasks / blocks), ceil(self._n_nodes / NODES_PER_GROUP))
+        groups = max(1, min(groups, self.n_trees))
+        group = F.pmod(F.col("tree"), F.lit(groups))
+        block = F.pmod(F.xxhash64("vector"), F.lit(blocks)).cast("int")
+        dealt_trees = self.nodes.withColumns(
+            {"group": group, "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))}
+        )
+        dealt_rows = vectors.withColumns(
+            {"block": block, "group": F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))}
+        )
+        parts = [f"c{i}" for i in range(len(self.features))]
+
+        def explained(nodes: pa.Table, rows: pa.Table) -> pa.Table:
+            trees = trees_of(nodes.to_pandas()) if len(nodes) else []
+            values = np.array(rows["values"].to_pylist(), dtype="float64").reshape(len(rows), len(parts))
+            shap = np.zeros(values.shape)
+            score = np.zeros(len(rows))
+            for tree in trees:
+                score += tree_scores(tree, values)
+                for at in range(0, len(rows), ROWS_PER_STEP):
+                    shap[at : at + ROWS_PER_STEP] += tree_contributions(tree, values[at : at + ROWS_PER_STEP])
+            columns = {"vector": rows["vector"], "score": pa.array(score)}
+            return pa.table(columns | {name: pa.array(shap[:, i]) for i, name in enumerate(parts)})
+
+        summed = (
+            dealt_trees.repartition(tasks, "group", "block")
+            .groupBy("group", "block")
+            .cogroup(dealt_rows.repartition(tasks, "group", "block").groupBy("group", "block"))
+            .applyInArrow(explained, "vector long, score double, " + ", ".join(f"{p} double" for p in parts))
+            .groupBy("vector")
+            .agg(*[F.sum(c).alias(c) for c in ("score", *parts)])
+        )
+        n = F.lit(float(self.n_trees))
+        means = summed.select(
+            "vector",
+            (F.col("score") / n).alias("probability"),
+            F.array(*[F.col(p) / n for p in parts]).alias("shap"),
         )
+        return vectors.join(means, "vector").select("values", "probability", "shap")
 
     def contributions_column(self) -> Column:
         """Array of (feature_name, feature_value, shap_value) in feature order."""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from math import ceil
+
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fixed_values import EMBEDDING_DIM, LABEL, PATIENT_COLUMNS
+from ..fixed_values import LABEL, PATIENT_COLUMNS
 from ..functions.clinical import (
     clinical_query,
     percent,
@@ -19,7 +22,7 @@ from ..functions.contributions import (
     top_contributions,
 )
 from ..functions.literature import citation_url, embedding_text, fill_payload, point_id
-from ..functions.vectors import cosine, hashed_embedder, l2_norm, normalize
+from ..functions.vectors import cosine, digest_embedder, hashed_embedder, l2_norm, normalize
 from ..operators import cohorts
 from ..operators.cleanse import (
     bronze_to_silver,
@@ -36,14 +39,23 @@ from ..operators.contract import (
     split_requests,
 )
 from ..operators.dedupe import first_query_wins
-from ..operators.features import feature_names, patients_to_features, quoted
+from ..operators.features import feature_names, patients_to_features, quoted, split_features_label
 from ..operators.forest import (
     TrainingResult,
     load_model,
     predict_label,
+    predict_proba,
     top_importances,
     train_model,
 )
+from ..operators.forest_rows import (
+    importance_by_name,
+    read_nodes,
+    rule_nodes,
+    score_features,
+    with_stats,
+)
+from ..operators.inverted_index import InvertedIndex, build_index, recall
 from ..operators.metrics import binary_metrics, class_weights, positive_rate
 from ..operators.mutate import (
     delete_by_ids,
@@ -54,21 +66,48 @@ from ..operators.mutate import (
     with_ids,
 )
 from ..operators.nearest import top_k
-from ..operators.ranking import stratified_split
+from ..operators.ranking import stratified_split, with_positions
 from ..operators.shap import Explainer
 from ..runtime import scratch_path, settle
 from ..sources.articles import read_article_xml, read_corpus, write_corpus
 from ..sources.bronze import ingest_raw_csv, read_bronze, read_csv
+from ..sources.jdbc import redacted
 from ..sources.tables import read_table, save_table
 from ..streaming.bronze_stream import ingest_new_files
+from ..streaming.silver_stream import merge_batch, read_refreshed, refresh_silver
 from . import scoring
-from .corpus import index_corpus, retrieve
+from .corpus import ensure_index, retrieve, update_index
 from .encounters import encounters
-from .medallion import run_gold, run_silver
+from .medallion import run_gold, run_silver, truncate_patients
 
 AS_OF = "2001-06-30"
-#: Exact explanations cost leaves times squared depth: their forest is shallower.
-EXPLAINED_DEPTH = 10
+#: A small forest written by hand, as (tree, node, left, right, feature, threshold).
+#: Its weights are counted from the patients, so SQL can repeat what is built on it.
+RULES = [
+    (0, 0, 1, 2, "age", 59.5),
+    (0, 1, 3, 4, "length_of_stay_days", 6.5),
+    (0, 2, 5, 6, "sex_M", 0.5),
+    (0, 3, -1, -1, None, None),
+    (0, 4, -1, -1, None, None),
+    (0, 5, -1, -1, None, None),
+    (0, 6, 7, 8, "age", 74.5),
+    (0, 7, -1, -1, None, None),
+    (0, 8, -1, -1, None, None),
+    (1, 0, 1, 2, "length_of_stay_days", 7.5),
+    (1, 1, 3, 4, "length_of_stay_days", 2.5),
+    (1, 2, 5, 6, "age", 49.5),
+    (1, 3, -1, -1, None, None),
+    (1, 4, -1, -1, None, None),
+    (1, 5, -1, -1, None, None),
+    (1, 6, -1, -1, None, None),
+    (2, 0, 1, 2, "sex_F", 0.5),
+    (2, 1, -1, -1, None, None),
+    (2, 2, 3, 4, "age", 69.5),
+    (2, 3, -1, -1, None, None),
+    (2, 4, -1, -1, None, None),
+]
+#: Share of the lists that the probed search reads: unclustered vectors need many.
+PROBED_SHARE = 0.6
 
 
 def for_comparison(df: DataFrame) -> DataFrame:
@@ -169,9 +208,25 @@ def trained(spark: SparkSession, sf_dir: str, **settings) -> TrainingResult:
     return _trained[key]
 
 
-def explained(spark: SparkSession, sf_dir: str) -> TrainingResult:
-    """The forest whose scores are explained: 100 trees as well, of bounded depth."""
-    return trained(spark, sf_dir, max_depth=EXPLAINED_DEPTH)
+def ruled_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest of RULES with the weights of the stored patients."""
+    key = _once(spark, sf_dir)
+    if key not in _ruled:
+        rows = patients(spark, sf_dir)
+        features = patients_to_features(rows)
+        values = F.array(*[F.col(quoted(n)).cast("double") for n in feature_names()])
+        nodes = with_stats(
+            rule_nodes(spark, RULES, feature_names()),
+            features.select(values.alias("values"), LABEL),
+            class_weights(rows, LABEL),
+            LABEL,
+        )
+        _ruled[key] = scratch_path(spark, "nodes")
+        save_table(nodes, _ruled[key])
+    return read_table(spark, _ruled[key])
+
+
+_ruled: dict[tuple, str] = {}
 
 
 # --- ingest --------------------------------------------------------------------
@@ -221,6 +276,15 @@ def bronze_incremental(spark, sf_dir):
     return _bronze_rows(read_bronze(spark, out))
 
 
+def redacted_urls(spark, sf_dir):
+    """Connection addresses made of the pages' ids, without their passwords."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    secret = F.md5(F.col("page_id").cast("string").cast("binary"))
+    user = F.when(F.col("page_id") % 3 == 0, F.lit("app@")).otherwise(F.concat(F.lit("app:p@"), secret, F.lit("@")))
+    url = F.concat(F.lit("postgresql://"), user, F.lit("db/care"), F.col("page_id"))
+    return pages.select("page_id", redacted(url).alias("shown"))
+
+
 def csv_inferred(spark, sf_dir):
     """Types found by inference; the empty texts of a CSV are nulls."""
     return read_csv(spark, f"{_raw_csv(spark, sf_dir)}/*.csv").groupBy("sex").agg(
@@ -257,13 +321,27 @@ def silver_clean(spark, sf_dir):
     return for_comparison(silver(spark, sf_dir))
 
 
-def silver_drop_counts(spark, sf_dir):
+def silver_incremental(spark, sf_dir):
+    """Silver after its bronze files came in batches of one, the last of them twice."""
+    bronze, clean, log = (scratch_path(spark, n) for n in ("bronze", "silver", "files"))
     rows = encounters(spark, sf_dir)
-    named = F.when(F.col("mrn") != "", F.col("mrn"))
-    return rows.agg(
-        F.count(F.lit(1)).alias("bronze_rows"),
-        F.countDistinct(named).alias("silver_rows"),
-        (F.count(F.lit(1)) - F.countDistinct(named)).alias("dropped"),
+    months = F.month("admission_date")
+    for part in range(3):  # three loads, each of which holds rows of all years
+        save_table(rows.where(months % 3 == part).coalesce(2), bronze)
+        refresh_silver(spark, bronze, clean, log, max_files_per_batch=1)
+    merge_batch(rows.where(months % 3 == 1), clean)
+    return for_comparison(read_refreshed(spark, clean))
+
+
+def silver_drop_counts(spark, sf_dir):
+    """Counts of the silver job, as the writing job reports them."""
+    bronze, clean = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    save_table(encounters(spark, sf_dir), bronze)
+    counts = run_silver(spark, bronze, clean)
+    return read_table(spark, clean).agg(
+        F.lit(counts.rows_in).cast("long").alias("bronze_rows"),
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.lit(counts.dropped).cast("long").alias("dropped"),
     )
 
 
@@ -335,7 +413,7 @@ def admissions_by_month(spark, sf_dir):
     found = cohorts.admissions_between(
         read_table(spark, table), "1999-03-10", "1999-04-20"
     )
-    return for_comparison(found)
+    return for_comparison(found.drop("created_at"))
 
 
 def diagnosis_filter(spark, sf_dir):
@@ -403,6 +481,36 @@ def insert_conflicts(spark, sf_dir):
     return duplicate_mrns(*_stored_and_batch(spark, sf_dir))
 
 
+def gold_append(spark, sf_dir):
+    """The gold table after a second load that overlaps the first: ids go on densely,
+    patients known already are refused."""
+    early, late, table = (scratch_path(spark, n) for n in ("silver", "silver", "gold"))
+    rows = silver(spark, sf_dir)
+    save_table(rows.where("admission_date < '2001-01-01'"), early)
+    save_table(rows.where("admission_date >= '2000-01-01'"), late)
+    run_gold(spark, early, table)
+    run_gold(spark, late, table, mode="append")
+    return for_comparison(
+        read_table(spark, table).withColumn("created_at", F.col("created_at").isNotNull())
+    ).withColumnRenamed("created_at", "has_time")
+
+
+def truncated_table(spark, sf_dir):
+    """A gold table that was truncated and loaded again: ids start at 1 once more."""
+    clean, table = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    save_table(silver(spark, sf_dir), clean)
+    run_gold(spark, clean, table)
+    truncate_patients(spark, table)
+    empty = read_table(spark, table).count()
+    run_gold(spark, clean, table, mode="append")
+    return read_table(spark, table).agg(
+        F.lit(empty).cast("long").alias("n_after_truncate"),
+        F.count(F.lit(1)).alias("n_loaded"),
+        F.min("id").alias("first_id"),
+        F.max("id").alias("last_id"),
+    )
+
+
 def delete_ids(spark, sf_dir):
     rows = patients(spark, sf_dir)
     palliative = cohorts.find_by_diagnoses(rows, ["Z51.5"])
@@ -439,6 +547,25 @@ def request_reject(spark, sf_dir):
     return rejected.groupBy(REASONS).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def label_split(spark, sf_dir):
+    """Labels as numbers, apart from the features."""
+    features, labels = split_features_label(patients_to_features(gold(spark, sf_dir)))
+    if features.columns != feature_names():
+        raise ValueError(f"features are {features.columns}")
+    return labels.groupBy(LABEL).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def request_positions(spark, sf_dir):
+    """Requests read from several files, scored, with their place in the input."""
+    path = scratch_path(spark, "requests")
+    dealt = encounters(spark, sf_dir).repartitionByRange(5, "source_file").sortWithinPartitions("source_file")
+    dealt.select(*REQUEST_COLUMNS).write.option("header", True).csv(path)
+    schema = encounters(spark, sf_dir).select(*REQUEST_COLUMNS).schema
+    requests = with_positions(spark.read.schema(schema).option("header", True).csv(path))
+    scored = scoring.predict_by_rows(requests, ruled_nodes(spark, sf_dir), keep=["position"])[0]
+    return _rounded(scored, "readmission_probability")
+
+
 def split_rows(spark, sf_dir):
     return stratified_split(
         gold(spark, sf_dir).select("mrn", LABEL), "mrn", LABEL
@@ -508,22 +635,30 @@ def contribution_signs(spark, sf_dir):
 
 
 def training_report(spark, sf_dir):
+    """Sizes, and whether metrics and importances agree with a second computation: the
+    library's own AUC, and importances from the node rows."""
     result = trained(spark, sf_dir)
-    ranges = all(
-        0 <= v <= 1
-        for v in (result.auc, result.precision, result.recall, result.average_precision)
-    )
+    model = load_model(spark, result.model_path)
+    rows = patients(spark, sf_dir)
+    split = stratified_split(rows.select("mrn", LABEL), "mrn", LABEL).where("is_test").select("mrn")
+    test = patients_to_features(rows.join(split, "mrn", "left_semi"), keep=["mrn"])
+    scored = predict_proba(test, model, keep=["mrn", LABEL])
+    scored = scored.select(F.col("probability"), F.col(LABEL).cast("double").alias("label"))
+    auc = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label", numBins=0).evaluate(scored)
+    by_rows = importance_by_name(read_nodes(spark, result.model_path), feature_names())
+    near = all(abs(by_rows[n] - v) < 1e-6 for n, v in result.feature_importance.items())
     return gold(spark, sf_dir).agg(
         F.count(F.lit(1)).alias("n_patients"),
         F.lit(result.n_train).cast("long").alias("n_train"),
         F.lit(result.n_test).cast("long").alias("n_test"),
-        F.lit(ranges).alias("metrics_in_range"),
+        F.lit(abs(auc - result.auc) < 1e-6).alias("auc_agrees"),
+        F.lit(near).alias("importances_agree"),
     )
 
 
 def top_features(spark, sf_dir):
-    """Largest importances, with the mean of each feature over the patients."""
-    top = top_importances(trained(spark, sf_dir).feature_importance)
+    """Largest importances of the forest of RULES, with each feature's mean."""
+    top = top_importances(importance_by_name(ruled_nodes(spark, sf_dir), feature_names()))
     means = patients_to_features(patients(spark, sf_dir), False).agg(
         *[F.avg(F.col(quoted(n)).cast("double")).alias(f"m{i}") for i, (n, _) in enumerate(top)]
     )
@@ -536,83 +671,128 @@ def top_features(spark, sf_dir):
         )
         for i, (n, v) in enumerate(top)
     ]
-    return means.select(F.inline(F.array(*rows)))
+    return _rounded(means.select(F.inline(F.array(*rows))), "importance", "mean_value")
 
 
 def forest_scores(spark, sf_dir):
+    """All patients scored by the node rows of the forest of RULES."""
+    scored = scoring.predict_by_rows(patients(spark, sf_dir), ruled_nodes(spark, sf_dir))[0]
+    return _rounded(scored, "readmission_probability")
+
+
+def batch_mean(spark, sf_dir):
+    """Size and mean of a scored batch, as its writing job reports them."""
+    scored, _ = scoring.predict_by_rows(patients(spark, sf_dir), ruled_nodes(spark, sf_dir))
+    observed, seen = scoring.with_batch_mean(scored)
+    path = scratch_path(spark, "scores")
+    observed.write.parquet(path)
+    return read_table(spark, path).groupBy("risk_band").agg(
+        F.count(F.lit(1)).alias("n_in_band"),
+        F.lit(seen.get["n_scored"]).cast("long").alias("n_scored"),
+        F.lit(round(seen.get["mean_probability"], 6)).alias("mean_probability"),
+    )
+
+
+def trained_scores(spark, sf_dir):
     model = load_model(spark, trained(spark, sf_dir).model_path)
     return scoring.predict(patients(spark, sf_dir), model)[0]
 
 
 def score_checks(spark, sf_dir):
-    p, band = F.col("readmission_probability"), F.col("risk_band")
-    return forest_scores(spark, sf_dir).agg(
+    """The trained forest's scores against a walk over its node rows."""
+    nodes = read_nodes(spark, trained(spark, sf_dir).model_path)
+    walked = scoring.predict_by_rows(patients(spark, sf_dir), nodes)[0]
+    walked = walked.select("mrn", F.col("readmission_probability").alias("p"), F.col("risk_band").alias("band"))
+    near = F.abs(F.col("p") - F.col("readmission_probability")) < 1e-9
+    return trained_scores(spark, sf_dir).join(walked, "mrn").agg(
         F.count(F.lit(1)).alias("n_scored"),
-        F.count_if(p.between(0, 1)).alias("n_in_range"),
-        F.count_if(
-            ((band == "low") & (p < 0.15))
-            | ((band == "medium") & (p >= 0.15) & (p < 0.3))
-            | ((band == "high") & (p >= 0.3))
-        ).alias("n_banded"),
+        F.count_if(near).alias("n_same_score"),
+        F.count_if((F.col("band") == F.col("risk_band")) | near).alias("n_same_band"),
     )
 
 
 def label_checks(spark, sf_dir):
-    """Labels at a threshold, over the stored patients."""
-    model = load_model(spark, trained(spark, sf_dir).model_path)
+    """The trained forest's labels at a threshold against the walk over its node rows."""
+    result = trained(spark, sf_dir)
     features = patients_to_features(patients(spark, sf_dir), False, keep=["mrn"])
-    labelled = predict_label(features, model, 0.4, keep=["mrn"])
-    return labelled.agg(
+    labelled = predict_label(features, load_model(spark, result.model_path), 0.4, keep=["mrn"])
+    walked = score_features(features, read_nodes(spark, result.model_path), feature_names(), ["mrn"])
+    expected = (F.round("p", 9) >= 0.4).cast("int")
+    walked = walked.select("mrn", F.col("probability").alias("p"))
+    return labelled.join(walked, "mrn").agg(
         F.count(F.lit(1)).alias("n_labelled"),
-        F.count_if(
-            (F.col("predicted_label") == 1) == (F.col("probability") >= 0.4)
-        ).alias("n_at_threshold"),
+        F.count_if((F.col("predicted_label") == expected) | (F.abs(F.col("p") - 0.4) < 1e-9)).alias("n_at_threshold"),
     )
 
 
-def _explained(spark, sf_dir) -> DataFrame:
-    explainer = Explainer(spark, explained(spark, sf_dir).model_path)
-    return scoring.explain(patients(spark, sf_dir), explainer)[0]
-
-
 def tree_shap(spark, sf_dir):
-    return _explained(spark, sf_dir).select(
+    """Contributions to the scores of ``forest_scores``."""
+    explainer = Explainer(spark, nodes=ruled_nodes(spark, sf_dir))
+    explained = scoring.explain(patients(spark, sf_dir), explainer)[0].select(
         "mrn", "predicted_probability", "baseline_probability", F.inline("contributions")
     )
+    return _rounded(explained, "predicted_probability", "baseline_probability", "shap_value")
 
 
 def shap_checks(spark, sf_dir):
+    """The trained forest's contributions add up to its own library's scores."""
+    explainer = Explainer(spark, trained(spark, sf_dir).model_path)
     total = F.aggregate(
         "contributions", F.lit(0.0), lambda s, c: s + c["shap_value"]
     )
-    gap = F.abs(total - (F.col("predicted_probability") - F.col("baseline_probability")))
-    return _explained(spark, sf_dir).agg(
+    explained = scoring.explain(patients(spark, sf_dir), explainer)[0].select(
+        "mrn", "predicted_probability", (total + F.col("baseline_probability")).alias("total"), F.size("contributions").alias("n")
+    )
+    scored = trained_scores(spark, sf_dir).select("mrn", "readmission_probability")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-6
+    return explained.join(scored, "mrn").agg(
         F.count(F.lit(1)).alias("n_explained"),
-        F.count_if(gap < 1e-3).alias("n_additive"),
-        F.sum(F.size("contributions")).cast("long").alias("n_contributions"),
+        F.count_if(near("total", "readmission_probability")).alias("n_additive"),
+        F.count_if(near("predicted_probability", "readmission_probability")).alias("n_same_score"),
+        F.sum("n").cast("long").alias("n_contributions"),
     )
 
 
-def _cited(spark, sf_dir) -> DataFrame:
-    explainer = Explainer(spark, explained(spark, sf_dir).model_path)
+def _points(spark, sf_dir) -> DataFrame:
+    """Documents as index points."""
     abstracts = corpus(spark, sf_dir).withColumns(
         {
             "point_id": point_id(F.col("pmid")),
             "_text": embedding_text(F.col("title"), F.col("abstract")),
         }
     )
-    index = hashed_embedder()(abstracts, "_text", "vector").drop("_text")
-    return scoring.explain_with_citations(patients(spark, sf_dir), explainer, index)[0]
+    return digest_embedder()(abstracts, "_text", "vector").drop("_text")
+
+
+def article_index(spark, sf_dir) -> InvertedIndex:
+    """The documents' inverted index, written once per data folder and application."""
+    key = _once(spark, sf_dir)
+    if key not in _indexed:
+        _indexed[key] = scratch_path(spark, "articles")
+        build_index(_points(spark, sf_dir), _indexed[key])
+    return InvertedIndex(spark, _indexed[key])
+
+
+_indexed: dict[tuple, str] = {}
+
+
+def _cited(spark, sf_dir) -> DataFrame:
+    explainer = Explainer(spark, nodes=ruled_nodes(spark, sf_dir))
+    return scoring.explain_with_citations(
+        patients(spark, sf_dir), explainer, article_index(spark, sf_dir), embedder=digest_embedder()
+    )[0]
 
 
 def cited_explanations(spark, sf_dir):
-    return _cited(spark, sf_dir).select(
+    cited = _cited(spark, sf_dir).select(
         "mrn",
         "predicted_probability",
         "risk_band",
         "query",
         F.posexplode_outer("citations").alias("position", "citation"),
-    ).select("mrn", "predicted_probability", "risk_band", "query", "position", "citation.*")
+    )
+    cited = cited.select("mrn", "predicted_probability", "risk_band", "query", "position", "citation.*")
+    return _rounded(cited.drop("authors"), "predicted_probability", "score")
 
 
 def citation_checks(spark, sf_dir):
@@ -704,17 +884,57 @@ def corpus_upsert(spark, sf_dir):
     )
 
 
+def _entries_twice(spark, sf_dir) -> DataFrame:
+    """Documents as corpus entries; three neighbours share a PMID."""
+    return corpus(spark, sf_dir).withColumn("pmid", F.floor(F.col("pmid").cast("long") / 3).cast("string"))
+
+
+def _index_loads(spark, sf_dir) -> tuple[str, int, int]:
+    """An index after two loads: all documents, each file in id order, then the English
+    ones under other titles. Returns its path and the articles read."""
+    index = scratch_path(spark, "index")
+    entries = _entries_twice(spark, sf_dir)
+    first, second = scratch_path(spark, "corpus"), scratch_path(spark, "corpus")
+    in_order = entries.withColumn("_id", F.regexp_extract("title", r"(\d+)", 1).cast("long"))
+    # entries of one PMID are written to one file, in the order of their ids
+    dealt = in_order.repartition("pmid").sortWithinPartitions("_id")
+    write_corpus(dealt, first)
+    write_corpus(dealt.where("journal = 'en'").withColumn("title", F.concat(F.lit("New "), "title")), second)
+    return index, update_index(spark, first, index), update_index(spark, second, index)
+
+
 def index_snapshots(spark, sf_dir):
-    """Index the corpus, then index it again on top: no point is added twice."""
-    path, first, second = (scratch_path(spark, n) for n in ("corpus", "index", "index"))
-    write_corpus(corpus(spark, sf_dir), path)
-    index_corpus(spark, path, first)
-    indexed = index_corpus(spark, path, second, previous_path=first)
-    return read_table(spark, second).agg(
+    """Points after two loads whose corpora name a PMID more than once: of each load
+    the last entry stays, the second load replaces the first."""
+    index, *_ = _index_loads(spark, sf_dir)
+    return read_table(spark, index).select(
+        "point_id",
+        "pmid",
+        F.md5(F.col("title").cast("binary")).alias("title_md5"),
+        F.md5(F.col("abstract").cast("binary")).alias("abstract_md5"),
+        F.size("vector").cast("long").alias("dim"),
+    )
+
+
+def index_created(spark, sf_dir):
+    """An index that is created once, however often it is asked for, and then filled."""
+    path, corpus_path = scratch_path(spark, "index"), scratch_path(spark, "corpus")
+    created = [ensure_index(spark, path), ensure_index(spark, path)]
+    write_corpus(corpus(spark, sf_dir), corpus_path)
+    update_index(spark, corpus_path, path)
+    return read_table(spark, path).agg(
+        F.lit(sum(created)).cast("long").alias("n_created"), F.count(F.lit(1)).alias("n_points")
+    )
+
+
+def index_loads(spark, sf_dir):
+    """How many articles the two loads read, and that none was added twice."""
+    index, first, second = _index_loads(spark, sf_dir)
+    return read_table(spark, index).agg(
+        F.lit(first).cast("long").alias("n_first"),
+        F.lit(second).cast("long").alias("n_second"),
         F.count(F.lit(1)).alias("n_points"),
         F.countDistinct("point_id").alias("n_ids"),
-        F.count_if(F.size("vector") == EMBEDDING_DIM).alias("n_right_size"),
-        F.lit(indexed).cast("long").alias("n_indexed"),
     )
 
 
@@ -750,12 +970,17 @@ def payload_defaults(spark, sf_dir):
 
 
 def text_embedding(spark, sf_dir):
-    embedded = hashed_embedder()(documents(spark, sf_dir), "text", "vector")
-    return embedded.select("doc_id", "vector")
+    """The numbers of every document's vector that are not zero, in millionths."""
+    embedded = digest_embedder()(documents(spark, sf_dir), "text", "vector")
+    number = F.struct(F.col("pos").alias("place"), F.round(F.col("col").cast("double") * 1e6).cast("long").alias("millionths"))
+    spread = embedded.select("doc_id", F.posexplode("vector")).where("col != 0")
+    return spread.select("doc_id", number.alias("number")).select("doc_id", "number.*")
 
 
 def embedding_checks(spark, sf_dir):
-    return text_embedding(spark, sf_dir).select(
+    """The embedder of the JVM: size and length."""
+    embedded = hashed_embedder()(documents(spark, sf_dir), "text", "vector")
+    return embedded.select(
         "doc_id",
         F.size("vector").alias("dim"),
         F.round(l2_norm(F.col("vector")), 4).alias("norm"),
@@ -782,27 +1007,53 @@ def cosine_to_first_of_label(spark, sf_dir):
     )
 
 
+def _vectors(spark, sf_dir, key: str) -> DataFrame:
+    return embeddings(spark, sf_dir).select(F.col("vec_id").alias(key), F.col("embedding").alias("vector"))
+
+
 def knn_top3(spark, sf_dir):
-    vectors = embeddings(spark, sf_dir)
-    near = top_k(
-        vectors.select(F.col("vec_id").alias("query_key"), F.col("embedding").alias("vector")),
-        vectors.select(F.col("vec_id").alias("document_key"), F.col("embedding").alias("vector")),
-        3,
-    )
+    near = top_k(_vectors(spark, sf_dir, "query_key"), _vectors(spark, sf_dir, "document_key"), 3)
     return near.withColumn("score", F.round("score", 4))
 
 
+_vector_indexes: dict[tuple, str] = {}
+
+
+def vector_index(spark, sf_dir) -> InvertedIndex:
+    key = _once(spark, sf_dir)
+    if key not in _vector_indexes:
+        _vector_indexes[key] = scratch_path(spark, "vectors")
+        build_index(embeddings(spark, sf_dir), _vector_indexes[key], "vec_id", "embedding")
+    return InvertedIndex(spark, _vector_indexes[key], "vec_id", "embedding")
+
+
+def _probed_top3(spark, sf_dir) -> DataFrame:
+    index = vector_index(spark, sf_dir)
+    probes = ceil(PROBED_SHARE * len(index.centroids))
+    return index.search(_vectors(spark, sf_dir, "query_key"), 3, probes)
+
+
+def indexed_top3(spark, sf_dir):
+    """The three best rows of the lists that a query probes."""
+    return _rounded(_probed_top3(spark, sf_dir), "score")
+
+
+def indexed_top3_exact(spark, sf_dir):
+    """The three best of all rows, by the lists that the bounds leave."""
+    found = vector_index(spark, sf_dir).search(_vectors(spark, sf_dir, "query_key"), 3, exact=True)
+    return found.withColumn("score", F.round("score", 4))
+
+
+def index_recall(spark, sf_dir):
+    """How much of ``knn_top3`` the probed lists hold."""
+    exact = top_k(_vectors(spark, sf_dir, "query_key"), _vectors(spark, sf_dir, "document_key"), 3)
+    return _rounded(recall(_probed_top3(spark, sf_dir), exact), "recall")
+
+
 def retrieved_documents(spark, sf_dir):
     """The clinical queries of all patients against all documents."""
-    abstracts = corpus(spark, sf_dir).withColumns(
-        {
-            "point_id": point_id(F.col("pmid")),
-            "_text": embedding_text(F.col("title"), F.col("abstract")),
-        }
-    )
-    index = hashed_embedder()(abstracts, "_text", "vector")
-    found = retrieve(clinical_queries(spark, sf_dir), index)
-    return found.drop("abstract", "authors")
+    found = retrieve(clinical_queries(spark, sf_dir), article_index(spark, sf_dir), embedder=digest_embedder())
+    return _rounded(found.drop("abstract", "authors"), "score")
 
 
 QUERIES = {
@@ -811,9 +1062,11 @@ QUERIES = {
         bronze_roundtrip,
         bronze_append_twice,
         bronze_incremental,
+        redacted_urls,
         csv_inferred,
         medallion_run,
         silver_clean,
+        silver_incremental,
         silver_drop_counts,
         gold_accept,
         gold_reject,
@@ -836,11 +1089,15 @@ QUERIES = {
         readmit_rate,
         insert_unique,
         insert_conflicts,
+        gold_append,
+        truncated_table,
         delete_ids,
         feature_matrix,
         unknown_diagnosis_counts,
         request_accept,
         request_reject,
+        label_split,
+        request_positions,
         split_rows,
         weights,
         label_rate,
@@ -851,6 +1108,8 @@ QUERIES = {
         training_report,
         top_features,
         forest_scores,
+        batch_mean,
+        trained_scores,
         score_checks,
         label_checks,
         tree_shap,
@@ -865,6 +1124,8 @@ QUERIES = {
         distinct_pmids,
         corpus_upsert,
         index_snapshots,
+        index_created,
+        index_loads,
         point_ids,
         embedding_texts,
         payload_defaults,
@@ -873,6 +1134,9 @@ QUERIES = {
         normalized_vectors,
         cosine_to_first_of_label,
         knn_top3,
+        indexed_top3,
+        indexed_top3_exact,
+        index_recall,
         retrieved_documents,
     )
 }

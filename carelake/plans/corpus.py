@@ -8,27 +8,31 @@ from pyspark.sql import functions as F
 from ..fixed_values import EMBEDDING_DIM
 from ..functions.literature import citation_url, embedding_text, fill_payload, point_id
 from ..functions.vectors import Embedder, hashed_embedder
-from ..operators.dedupe import first_query_wins, keep_first
+from ..operators.dedupe import first_query_wins
 from ..operators.mutate import new_articles, replace_rows
+from ..operators.inverted_index import InvertedIndex
 from ..operators.lookup import attach, broadcast_if_small
 from ..operators.nearest import top_k
-from ..runtime import settle
+from ..runtime import counted, settle
 from ..schemas import INDEX_SCHEMA
 from ..sources.articles import read_corpus
 from ..sources.tables import (
-    create_if_absent,
+    BUCKET,
+    DEFAULT_BUCKETS,
+    create_bucketed,
     read_table,
     require_dimension,
     save_table,
     table_exists,
+    upsert_bucketed,
 )
 
 PAYLOAD = ["pmid", "title", "abstract", "journal", "year", "authors"]
 
 
-def ensure_index(spark: SparkSession, path: str) -> bool:
-    """Create an empty index; true if it was not there yet."""
-    return create_if_absent(spark, path, INDEX_SCHEMA)
+def ensure_index(spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS) -> bool:
+    """Create an empty index, bucketed by point id; true if it was not there yet."""
+    return create_bucketed(spark, path, INDEX_SCHEMA, buckets)
 
 
 def collect_corpus(found: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -53,6 +57,35 @@ def embed_articles(
     return require_dimension(points.drop("_text"), dim), rejected
 
 
+def _entries(
+    spark: SparkSession, corpus_path: str, embedder: Embedder | None, array_file: bool, dim: int
+) -> tuple[DataFrame, int]:
+    """Index points of a corpus, the last entry of a PMID, and how many entries it has.
+
+    The last one is that of the last file, by path. Only PMIDs and places are looked
+    at to find it: texts move once, to where they are written.
+    """
+    # where an entry stands: its file, the split of the file, and its place in there
+    placed = read_corpus(spark, corpus_path, array_file).select(
+        "*",
+        F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("entry"),
+        ).alias("_place"),
+    )
+    bad = placed.where(point_id(F.col("pmid")).isNull()).select("pmid").take(1)
+    if bad:
+        raise ValueError(f"pmid is not a number: {bad[0].pmid!r}")
+    narrow, seen = counted(placed.select("pmid", "_place"))
+    last = narrow.groupBy("pmid").agg(F.count(F.lit(1)).alias("n"), F.max("_place").alias("last"))
+    repeated = settle(last.where("n > 1").select("pmid", "last"))
+    beaten = placed.select("pmid", "_place").join(repeated, "pmid").where("_place < last").select("_place")
+    kept = placed.join(broadcast_if_small(settle(beaten)), "_place", "left_anti").drop("_place")
+    points, _ = embed_articles(kept, embedder, dim)
+    return points.select(*INDEX_SCHEMA.names), seen.get["rows"]
+
+
 def index_corpus(
     spark: SparkSession,
     corpus_path: str,
@@ -65,56 +98,58 @@ def index_corpus(
     """Write a new index snapshot: the previous one with the corpus upserted.
 
     Returns the articles read. Of a PMID that the corpus names more than once the
-    last entry stays: the last one of the last file, by path.
+    last entry stays. ``update_index`` keeps one table instead and leaves the files
+    of untouched buckets alone.
     """
     if previous_path is not None and str(previous_path) == str(output_path):
         raise ValueError("a snapshot cannot replace the one it is built from")
-    corpus = read_corpus(spark, corpus_path, array_file)
-    # where an entry stands: its file, the split of the file, and its place in there
-    placed = corpus.select(
-        "*",
-        F.struct(
-            F.col("_metadata.file_path"),
-            F.col("_metadata.file_block_start"),
-            F.monotonically_increasing_id().alias("entry"),
-        ).alias("_place"),
-    )
-    last = keep_first(placed, ["pmid"], [F.col("_place").desc()]).drop("_place")
-    points, rejected = embed_articles(last, embedder, dim)
-    bad = rejected.take(1)
-    if bad:
-        raise ValueError(f"pmid is not a number: {bad[0].pmid!r}")
+    points, read = _entries(spark, corpus_path, embedder, array_file, dim)
     if previous_path is not None and table_exists(spark, previous_path):
-        stored = read_table(spark, previous_path)
-    else:
-        stored = spark.createDataFrame([], INDEX_SCHEMA)
-    table = replace_rows(stored, points.select(*INDEX_SCHEMA.names), "point_id")
-    save_table(table, output_path, mode="overwrite")
-    return corpus.count()
+        points = replace_rows(read_table(spark, previous_path).drop(BUCKET), points, "point_id")
+    save_table(points, output_path, mode="overwrite")
+    return read
+
+
+def update_index(
+    spark: SparkSession,
+    corpus_path: str,
+    index_path: str,
+    embedder: Embedder | None = None,
+    array_file: bool = False,
+    dim: int = EMBEDDING_DIM,
+    buckets: int = DEFAULT_BUCKETS,
+) -> int:
+    """Upsert a corpus into an index that is bucketed by point id, and created with
+    that many buckets if absent. Returns the articles read; of a PMID that the corpus
+    names more than once the last entry stays."""
+    create_bucketed(spark, index_path, INDEX_SCHEMA, buckets)
+    points, read = _entries(spark, corpus_path, embedder, array_file, dim)
+    upsert_bucketed(points, index_path, "point_id")
+    return read
 
 
 def retrieve(
     queries: DataFrame,
-    index: DataFrame,
+    index: DataFrame | InvertedIndex,
     k: int = 3,
     embedder: Embedder | None = None,
     query: str = "query",
+    exact: bool = True,
 ) -> DataFrame:
     """The k most similar documents of each distinct query text.
 
-    Equal texts are looked up once; blank ones find nothing.
+    Equal texts are looked up once; blank ones find nothing. A stored index is read
+    in the lists that can hold a result (``exact``), or in those nearest to the query.
     """
     embedder = embedder or hashed_embedder()
     texts = queries.filter(F.col(query).rlike(r"\S")).select(query).distinct()
-    near = settle(
-        top_k(
-            embedder(texts, query, "vector"),
-            index,
-            k,
-            query_key=query,
-            document_key="point_id",
-        )
-    )
+    asked = embedder(texts, query, "vector")
+    if isinstance(index, InvertedIndex):
+        near = index.search(asked, k, exact=exact, query_key=query, document_key="point_id")
+        index = index.members
+    else:
+        near = top_k(asked, index, k, query_key=query, document_key="point_id")
+    near = settle(near)
     documents = index.select("point_id", *[c for c in PAYLOAD if c in index.columns])
     hits = near.select("point_id").distinct()
     hit_documents = documents.join(broadcast_if_small(hits), "point_id", "left_semi")

@@ -15,7 +15,7 @@ from ..fixed_values import (
     UNSPECIFIED_DIAGNOSIS,
 )
 from ..operators.features import feature_names
-from .catalog import AS_OF
+from .catalog import AS_OF, PROBED_SHARE, RULES
 from .encounters import ENCOUNTERS_SQL
 
 SILVER_TEXT = """mrn, age, sex, CAST(admission_date AS VARCHAR) AS admission_date,
@@ -87,7 +87,122 @@ STEPS = {
  ELSE primary_diagnosis END || ' after ' || {_case("<=", "days", STAY_DESCRIPTORS)} || ' (' || days || ' days)' AS query
  FROM (SELECT *, discharge_date - admission_date AS days FROM gold)""",
 }
+_NAMES = feature_names()
+# The forest of RULES: its weights, the leaf of each patient, and its exact Shapley
+# values as sums over all coalitions of the features on the way to each leaf.
+STEPS |= {
+    "rule": 'SELECT * FROM (VALUES '
+    + ", ".join(
+        f"({t}, {n}, {left}, {right}, {_NAMES.index(f) if f else -1}, {f'{x}::DOUBLE' if f else 'NULL'})"
+        for t, n, left, right, f, x in RULES
+    )
+    + ') AS r(tree, node, "left", "right", feature, threshold)',
+    "vec": "SELECT mrn, readmitted_30d, ["
+    + ", ".join(f'CAST("{n}" AS DOUBLE)' for n in _NAMES)
+    + "] AS v FROM feature",
+    "visit": """SELECT mrn, readmitted_30d, v, tree, 0 AS node FROM vec, (SELECT DISTINCT tree FROM rule)
+ UNION ALL SELECT mrn, readmitted_30d, v, tree, CASE WHEN v[feature + 1] <= threshold THEN "left" ELSE "right" END
+ FROM visit JOIN rule USING (tree, node) WHERE "left" >= 0""",
+    "label_weight": """SELECT readmitted_30d, (SELECT count(*) FROM gold) / (2.0 * count(*)) AS w FROM gold GROUP BY 1""",
+    "stat": """SELECT tree, node, "left", "right", feature, threshold, coalesce(s0, 0) AS s0, coalesce(s1, 0) AS s1 FROM rule LEFT JOIN
+ (SELECT tree, node, sum(c * w) FILTER (NOT readmitted_30d) AS s0, sum(c * w) FILTER (readmitted_30d) AS s1
+ FROM (SELECT tree, node, readmitted_30d, count(*) AS c FROM visit GROUP BY ALL) JOIN label_weight USING (readmitted_30d)
+ GROUP BY tree, node) USING (tree, node)""",
+    "score": """SELECT mrn, avg(s1 / (s0 + s1)) AS p FROM visit JOIN stat USING (tree, node) WHERE "left" < 0 GROUP BY mrn""",
+    "base": "SELECT avg(s1 / (s0 + s1)) AS b FROM stat WHERE node = 0",
+    "importance": """SELECT feature, sum(gain / whole) / sum(sum(gain / whole)) OVER () AS importance FROM
+ (SELECT tree, feature, sum(gain) AS gain, sum(sum(gain)) OVER (PARTITION BY tree) AS whole FROM
+ (SELECT p.tree, p.feature, 2 * p.s0 * p.s1 / (p.s0 + p.s1) - sum(2 * k.s0 * k.s1 / (k.s0 + k.s1)) AS gain
+ FROM stat p JOIN stat k ON k.tree = p.tree AND k.node IN (p."left", p."right") WHERE p."left" >= 0
+ GROUP BY p.tree, p.node, p.feature, p.s0, p.s1) GROUP BY tree, feature) GROUP BY feature""",
+    "way": """SELECT tree, node AS leaf, node, NULL::INT AS feature, NULL::DOUBLE AS lo, NULL::DOUBLE AS hi, NULL::DOUBLE AS share,
+ s1 / (s0 + s1) AS value FROM stat WHERE "left" < 0
+ UNION ALL SELECT w.tree, w.leaf, p.node, p.feature, CASE WHEN p."right" = w.node THEN p.threshold END,
+ CASE WHEN p."left" = w.node THEN p.threshold END, (k.s0 + k.s1) / (p.s0 + p.s1), w.value
+ FROM way w JOIN stat p ON p.tree = w.tree AND w.node IN (p."left", p."right") JOIN stat k ON k.tree = w.tree AND k.node = w.node""",
+    "player": """SELECT *, row_number() OVER (PARTITION BY tree, leaf ORDER BY feature) - 1 AS bit, count(*) OVER (PARTITION BY tree, leaf) AS m
+ FROM (SELECT tree, leaf, feature, max(lo) AS lo, min(hi) AS hi, product(share) AS z, any_value(value) AS value
+ FROM way WHERE feature IS NOT NULL GROUP BY tree, leaf, feature)""",
+    "met": """SELECT d.v, p.*, CAST((lo IS NULL OR v[feature + 1] > lo) AND (hi IS NULL OR v[feature + 1] <= hi) AS DOUBLE) AS o
+ FROM (SELECT DISTINCT v FROM vec) d, player p""",
+    "coalition": """SELECT j.v, j.tree, j.leaf, j.feature, mask, any_value(j.value * (j.o - j.z)
+ * factorial(bit_count(mask)::INT) * factorial((j.m - bit_count(mask) - 1)::INT) / factorial(j.m::INT))
+ * coalesce(product(CASE WHEN (mask >> i.bit) & 1 = 1 THEN i.o ELSE i.z END), 1) AS part
+ FROM met j JOIN range(64) AS masks(mask) ON mask < (1 << j.m) AND (mask >> j.bit) & 1 = 0
+ LEFT JOIN met i ON i.v = j.v AND i.tree = j.tree AND i.leaf = j.leaf AND i.feature <> j.feature
+ GROUP BY j.v, j.tree, j.leaf, j.feature, mask""",
+    "shapley": """SELECT v, feature, sum(part) / (SELECT count(DISTINCT tree) FROM rule) AS shap FROM coalition GROUP BY v, feature""",
+}
+
+
+# The same walk for scoring requests, by their place in the input.
+STEPS["request"] = """SELECT * FROM (SELECT *, row_number() OVER (ORDER BY source_file) - 1 AS position FROM enc)
+ WHERE length(mrn) BETWEEN 1 AND 64 AND age BETWEEN 0 AND 120 AND sex IN ('F', 'M', 'O')"""
+STEPS["request_feature"] = STEPS["feature"].replace("SELECT mrn,", "SELECT mrn, position,").replace("FROM gold", "FROM request")
+STEPS["request_vec"] = STEPS["vec"].replace("SELECT mrn,", "SELECT mrn, position,").replace("FROM feature", "FROM request_feature")
+STEPS["request_visit"] = (
+    STEPS["visit"].replace("SELECT mrn,", "SELECT mrn, position,").replace("FROM vec", "FROM request_vec").replace("FROM visit", "FROM request_visit")
+)
+
+
+def _words_of(source: str, key: str, text: str) -> str:
+    """Places and millionths-exact values of the digest embedder, one row per number."""
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""SELECT key, place, CAST(c / sqrt(sum(c * c) OVER (PARTITION BY key)) AS FLOAT)::DOUBLE AS x FROM
+ (SELECT key, ('0x' || substr(md5(word), 1, 8))::BIGINT % {EMBEDDING_DIM} AS place,
+ sum(CASE WHEN ('0x' || substr(md5(word), 9, 1))::BIGINT % 2 = 0 THEN 1 ELSE -1 END)::DOUBLE AS c FROM
+ (SELECT {key} AS key, unnest(regexp_split_to_array({lower}, '[^a-z0-9]+')) AS word FROM {source})
+ WHERE word <> '' GROUP BY 1, 2) WHERE c <> 0"""
+
+
+STEPS |= {
+    "asked": _words_of("(SELECT DISTINCT query FROM query)", "query", "query"),
+    "held": _words_of("corpus", "pmid", "title || chr(10) || chr(10) || coalesce(abstract, '')"),
+    "hit": """SELECT * FROM (SELECT query, pmid, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, pmid::BIGINT) AS rank FROM
+ (SELECT q.query, c.pmid, round(coalesce(s.dot, 0), 12) AS score FROM (SELECT DISTINCT query FROM query) q CROSS JOIN corpus c
+ LEFT JOIN (SELECT a.key AS query, h.key AS pmid, sum(a.x * h.x) / any_value(a.norm * h.norm) AS dot FROM
+ (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY key)) AS norm FROM asked) a JOIN
+ (SELECT *, sqrt(sum(x * x) OVER (PARTITION BY key)) AS norm FROM held) h USING (place) GROUP BY 1, 2) s
+ ON s.query = q.query AND s.pmid = c.pmid)) WHERE rank <= 3""",
+    "vector": "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
+    "centroid": """SELECT * FROM (SELECT row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS list_no, v FROM vector)
+ WHERE list_no < (SELECT ceil(sqrt(count(*))) FROM vector)""",
+    "turned": """SELECT vec_id, d.v, list_no, row_number() OVER (PARTITION BY vec_id ORDER BY
+ round(list_cosine_similarity(d.v, c.v), 12) DESC, list_no) AS nth FROM vector d CROSS JOIN centroid c""",
+    "near_rows": f"""SELECT * FROM (SELECT query_key, document_key, score,
+ CAST(row_number() OVER (PARTITION BY query_key ORDER BY score DESC, document_key) AS INT) AS rank FROM
+ (SELECT q.vec_id AS query_key, h.vec_id AS document_key, round(list_cosine_similarity(q.v, h.v), 12) AS score
+ FROM turned q JOIN turned h USING (list_no) WHERE h.nth = 1
+ AND q.nth <= ceil({PROBED_SHARE} * (SELECT count(*) FROM centroid)))) WHERE rank <= 3""",
+    "near_all": """SELECT * FROM (SELECT query_key, document_key, score,
+ CAST(row_number() OVER (PARTITION BY query_key ORDER BY score DESC, document_key) AS INT) AS rank FROM
+ (SELECT q.vec_id AS query_key, d.vec_id AS document_key, round(list_cosine_similarity(q.v, d.v), 12) AS score
+ FROM vector q CROSS JOIN vector d)) WHERE rank <= 3""",
+}
 NEEDS = {
+    "vec": ["feature"],
+    "visit": ["rule", "vec"],
+    "label_weight": ["gold"],
+    "stat": ["rule", "visit", "label_weight"],
+    "score": ["visit", "stat"],
+    "base": ["stat"],
+    "importance": ["stat"],
+    "way": ["stat"],
+    "player": ["way"],
+    "met": ["player", "vec"],
+    "coalition": ["met"],
+    "shapley": ["coalition", "rule"],
+    "request": ["enc"],
+    "request_feature": ["request"],
+    "request_vec": ["request_feature"],
+    "request_visit": ["rule", "request_vec"],
+    "asked": ["query"],
+    "held": ["corpus"],
+    "hit": ["asked", "held", "query", "corpus"],
+    "centroid": ["vector"],
+    "turned": ["vector", "centroid"],
+    "near_rows": ["turned", "centroid"],
+    "near_all": ["vector"],
     "clean": ["enc"],
     "silver": ["clean"],
     "gold": ["silver"],
@@ -115,7 +230,7 @@ def _with(steps: str, select: str) -> str:
     for step in steps.split():
         need(step)
     ctes = ", ".join(f"{s} AS ({STEPS[s]})" for s in ordered)
-    return f"WITH {ctes}{select}" if select.startswith(",") else f"WITH {ctes} {select}"
+    return f"WITH RECURSIVE {ctes}{select}" if select.startswith(",") else f"WITH RECURSIVE {ctes} {select}"
 
 
 def _fingerprint(source: str, extra: str = "") -> str:
@@ -177,6 +292,12 @@ ORACLE = {
         "silver",
         f"SELECT {SILVER_TEXT}, CAST(ingested_at AS VARCHAR) AS ingested_at, source_file FROM silver",
     ),
+    "silver_incremental": _with(
+        "silver",
+        f"SELECT {SILVER_TEXT}, CAST(ingested_at AS VARCHAR) AS ingested_at, source_file FROM silver",
+    ),
+    "redacted_urls": """SELECT page_id, 'postgresql://' || CASE WHEN page_id % 3 = 0 THEN 'app@' ELSE 'app:***@' END
+ || 'db/care' || page_id AS shown FROM pages""",
     "silver_drop_counts": _with(
         "enc silver",
         """SELECT (SELECT count(*) FROM enc) AS bronze_rows, (SELECT count(*) FROM silver) AS silver_rows,
@@ -209,9 +330,9 @@ ORACLE = {
         "admission_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"
     ),
     "admissions_by_month": _with(
-        "gold",
-        f"""SELECT {SILVER_TEXT}, strftime(admission_date, '%Y-%m') AS admission_month FROM
- (SELECT * FROM gold) AS g WHERE g.admission_date BETWEEN DATE '1999-03-10' AND DATE '1999-04-20'""",
+        "patient",
+        f"""SELECT id, {SILVER_TEXT}, strftime(admission_date, '%Y-%m') AS admission_month FROM
+ (SELECT * FROM patient) AS g WHERE g.admission_date BETWEEN DATE '1999-03-10' AND DATE '1999-04-20'""",
     ),
     "diagnosis_filter": _patients_where(
         """primary_diagnosis IN ('A41.9', 'N17.9')
@@ -238,6 +359,16 @@ ORACLE = {
         f"""SELECT (SELECT max(id) FROM stored) + ROW_NUMBER() OVER (ORDER BY md5(mrn)) AS id, {SILVER_TEXT}
  FROM batch WHERE mrn NOT IN (SELECT mrn FROM stored)""",
     ),
+    "gold_append": _with(
+        "stored batch",
+        f"""SELECT id, {SILVER_TEXT}, TRUE AS has_time FROM stored UNION ALL
+ SELECT (SELECT max(id) FROM stored) + ROW_NUMBER() OVER (ORDER BY md5(mrn)) AS id, {SILVER_TEXT}, TRUE
+ FROM batch WHERE mrn NOT IN (SELECT mrn FROM stored)""",
+    ),
+    "truncated_table": _with(
+        "gold",
+        """SELECT CAST(0 AS BIGINT) AS n_after_truncate, count(*) AS n_loaded, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id FROM gold""",
+    ),
     "insert_conflicts": _with(
         "stored batch", "SELECT mrn FROM batch WHERE mrn IN (SELECT mrn FROM stored)"
     ),
@@ -262,6 +393,20 @@ ORACLE = {
         "enc",
         f"""SELECT reasons, CAST(count(*) AS BIGINT) AS n_rows FROM ({REQUEST_CHECKS})
  WHERE reasons <> '' GROUP BY 1""",
+    ),
+    "label_split": _with(
+        "gold", "SELECT CAST(readmitted_30d AS INT) AS readmitted_30d, count(*) AS n_rows FROM gold GROUP BY 1"
+    ),
+    "request_positions": _with(
+        "request_visit stat",
+        """SELECT mrn, position, round(p, 6) AS readmission_probability,
+ CASE WHEN p < 0.15 THEN 'low' WHEN p < 0.30 THEN 'medium' ELSE 'high' END AS risk_band FROM
+ (SELECT mrn, position, avg(s1 / (s0 + s1)) AS p FROM request_visit JOIN stat USING (tree, node) WHERE "left" < 0 GROUP BY mrn, position)""",
+    ),
+    "batch_mean": _with(
+        "score",
+        """SELECT CASE WHEN p < 0.15 THEN 'low' WHEN p < 0.30 THEN 'medium' ELSE 'high' END AS risk_band, count(*) AS n_in_band,
+ (SELECT count(*) FROM score) AS n_scored, (SELECT round(avg(p), 6) FROM score) AS mean_probability FROM score GROUP BY 1""",
     ),
     "split_rows": _with(
         "gold",
@@ -306,24 +451,68 @@ SELECT CAST(max(p) + max(n) AS BIGINT) AS n, CAST(max(p) AS BIGINT) AS n_positiv
     "training_report": _with(
         "gold",
         """SELECT CAST(sum(c) AS BIGINT) AS n_patients, CAST(sum(c - t) AS BIGINT) AS n_train,
- CAST(sum(t) AS BIGINT) AS n_test, TRUE AS metrics_in_range
+ CAST(sum(t) AS BIGINT) AS n_test, TRUE AS auc_agrees, TRUE AS importances_agree
  FROM (SELECT count(*) AS c, round(count(*) * 0.2) AS t FROM gold GROUP BY readmitted_30d)""",
+    ),
+    "top_features": _with(
+        "importance feature",
+        ", mean AS ("
+        + " UNION ALL ".join(f"SELECT {i} AS feature, '{n}' AS name, avg(\"{n}\") AS m FROM feature" for i, n in enumerate(_NAMES))
+        + """) SELECT CAST(row_number() OVER (ORDER BY coalesce(importance, 0) DESC, feature) AS INT) AS rank, name AS feature_name,
+ round(coalesce(importance, 0), 6) AS importance, round(m, 6) AS mean_value FROM mean LEFT JOIN importance USING (feature)
+ ORDER BY rank LIMIT 5""",
+    ),
+    "forest_scores": _with(
+        "score",
+        """SELECT mrn, round(p, 6) AS readmission_probability,
+ CASE WHEN p < 0.15 THEN 'low' WHEN p < 0.30 THEN 'medium' ELSE 'high' END AS risk_band FROM score""",
     ),
     "score_checks": _with(
         "gold",
-        "SELECT count(*) AS n_scored, count(*) AS n_in_range, count(*) AS n_banded FROM gold",
+        "SELECT count(*) AS n_scored, count(*) AS n_same_score, count(*) AS n_same_band FROM gold",
     ),
     "label_checks": _with(
         "gold", "SELECT count(*) AS n_labelled, count(*) AS n_at_threshold FROM gold"
     ),
+    "tree_shap": _with(
+        "shapley score base vec",
+        ", named AS (SELECT * FROM (VALUES "
+        + ", ".join(f"({i}, '{n}')" for i, n in enumerate(_NAMES))
+        + """) AS n(feature, feature_name)) SELECT mrn, round(p, 6) AS predicted_probability, round(b, 6) AS baseline_probability,
+ feature_name, v[feature + 1] AS feature_value, round(coalesce(shap, 0), 6) AS shap_value
+ FROM vec JOIN score USING (mrn) CROSS JOIN base CROSS JOIN named LEFT JOIN shapley USING (v, feature)""",
+    ),
     "shap_checks": _with(
         "gold",
-        f"SELECT count(*) AS n_explained, count(*) AS n_additive, {len(feature_names())} * count(*) AS n_contributions FROM gold",
+        f"""SELECT count(*) AS n_explained, count(*) AS n_additive, count(*) AS n_same_score,
+ {len(_NAMES)} * count(*) AS n_contributions FROM gold""",
+    ),
+    "cited_explanations": _with(
+        "hit score query corpus",
+        f"""SELECT mrn, round(p, 6) AS predicted_probability,
+ CASE WHEN p < 0.15 THEN 'low' WHEN p < 0.30 THEN 'medium' ELSE 'high' END AS risk_band, query,
+ CAST(rank - 1 AS INT) AS position, pmid, title, journal, year, round(hit.score, 6) AS score,
+ '{CITATION_URL_PREFIX}' || pmid || '/' AS pubmed_url
+ FROM query JOIN score USING (mrn) JOIN hit USING (query) JOIN (SELECT pmid, title, journal, year FROM corpus) USING (pmid)""",
     ),
     "citation_checks": _with(
         "query",
         """SELECT count(*) AS n_explained, count(DISTINCT query) AS n_queries,
  count(*) * least(3, (SELECT count(*) FROM documents)) AS n_citations, count(*) AS n_in_score_order FROM query""",
+    ),
+    "retrieved_documents": _with(
+        "hit corpus",
+        f"""SELECT query, CAST(rank AS INT) AS rank, pmid, title, journal, year, round(score, 6) AS score,
+ '{CITATION_URL_PREFIX}' || pmid || '/' AS pubmed_url FROM hit JOIN (SELECT pmid, title, journal, year FROM corpus) USING (pmid)""",
+    ),
+    "text_embedding": f"""SELECT key AS doc_id, CAST(place AS INT) AS place, CAST(round(x * 1e6) AS BIGINT) AS millionths
+ FROM ({_words_of("documents", "doc_id", "text")})""",
+    "indexed_top3": _with("near_rows", "SELECT query_key, document_key, round(score, 6) AS score, rank FROM near_rows"),
+    "indexed_top3_exact": _with("near_all", "SELECT query_key, document_key, round(score, 4) AS score, rank FROM near_all"),
+    "index_recall": _with(
+        "near_rows near_all",
+        """SELECT count(*) AS n_exact, count(r.rank) AS n_found, round(count(r.rank) / count(*), 6) AS recall
+ FROM near_all a LEFT JOIN near_rows r USING (query_key, document_key)""",
     ),
     "clinical_queries": _with("query", "SELECT mrn, query FROM query"),
     "article_xml": f"""SELECT pmid, title, CAST(length(abstract) AS BIGINT) AS abstract_chars, md5(abstract) AS abstract_md5,
@@ -349,8 +538,14 @@ merged AS (SELECT * FROM batch WHERE rn = 1 UNION ALL
  SELECT * FROM stored WHERE rn = 1 AND pmid NOT IN (SELECT pmid FROM batch))
 {_fingerprint("merged")}""",
     ),
-    "index_snapshots": f"""SELECT count(*) AS n_points, count(*) AS n_ids, count(*) AS n_right_size,
- count(*) AS n_indexed FROM documents -- {EMBEDDING_DIM} values per vector""",
+    "index_snapshots": f"""SELECT (position // 3) AS point_id, CAST(position // 3 AS VARCHAR) AS pmid,
+ md5(CASE WHEN loaded = 2 THEN 'New ' ELSE '' END || 'Document ' || position) AS title_md5, md5(text) AS abstract_md5,
+ CAST({EMBEDDING_DIM} AS BIGINT) AS dim FROM (SELECT doc_id AS position, text, loaded, row_number() OVER
+ (PARTITION BY doc_id // 3 ORDER BY loaded DESC, doc_id DESC) AS rn FROM
+ (SELECT *, 1 AS loaded FROM documents UNION ALL SELECT *, 2 FROM documents WHERE lang = 'en')) WHERE rn = 1""",
+    "index_created": "SELECT CAST(1 AS BIGINT) AS n_created, count(*) AS n_points FROM documents",
+    "index_loads": """SELECT count(*) AS n_first, count(*) FILTER (lang = 'en') AS n_second,
+ count(DISTINCT doc_id // 3) AS n_points, count(DISTINCT doc_id // 3) AS n_ids FROM documents""",
     "point_ids": "SELECT doc_id, CASE WHEN lang = 'de' THEN -1 ELSE doc_id END AS point_id FROM documents",
     "embedding_texts": _with(
         "corpus",

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from ..functions.clinical import clinical_query, risk_band
 from ..functions.vectors import Embedder
 from ..operators.contract import scoring_rows, split_requests
-from ..operators.features import patients_to_features
+from ..operators.features import feature_names, patients_to_features
 from ..operators.forest import predict_proba
+from ..operators.forest_rows import score_features
+from ..operators.inverted_index import InvertedIndex
 from ..operators.lookup import attach
 from ..operators.shap import Explainer
 from .corpus import retrieve
@@ -49,6 +51,24 @@ def predict(
     )
 
 
+def predict_by_rows(
+    requests: DataFrame, nodes: DataFrame, keep: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """The same by the node rows of a forest (``operators.forest_rows``)."""
+    accepted, rejected = split_requests(requests)
+    carried = ["mrn", *keep]
+    features = patients_to_features(scoring_rows(accepted, keep), include_label=False, keep=carried)
+    scored = score_features(features, nodes, feature_names(), carried)
+    return (
+        scored.select(
+            *carried,
+            F.col("probability").alias("readmission_probability"),
+            risk_band(F.col("probability")).alias("risk_band"),
+        ),
+        rejected,
+    )
+
+
 def with_batch_mean(predictions: DataFrame) -> tuple[DataFrame, Observation]:
     """Count and mean probability of a batch, known once it has been written."""
     seen = Observation()
@@ -74,12 +94,13 @@ def explain(
 def explain_with_citations(
     requests: DataFrame,
     explainer: Explainer,
-    index: DataFrame | None = None,
+    index: DataFrame | InvertedIndex | None = None,
     k: int = 3,
     embedder: Embedder | None = None,
     keep: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Explanations with the k most similar articles; none without an index."""
+    """Explanations with the k most similar articles; none without an index. The index
+    is a table of points, compared with all of them, or a stored inverted index."""
     accepted, rejected = split_requests(requests)
     asked = scoring_rows(accepted, keep).withColumn(
         "query",
@@ -126,7 +147,7 @@ def _explained(
 
 
 def _citations(
-    asked: DataFrame, index: DataFrame, k: int, embedder: Embedder | None
+    asked: DataFrame, index: DataFrame | InvertedIndex, k: int, embedder: Embedder | None
 ) -> DataFrame:
     """At most k articles per distinct query, in rank order."""
     found = retrieve(asked.select("query"), index, k, embedder)

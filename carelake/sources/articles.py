@@ -83,7 +83,8 @@ def parse_article(xml: str) -> dict | None:
         if field:
             found.setdefault(field, text)
         elif place == SECTION:
-            sections.append(": ".join(s for s in (element.get(SECTION_LABEL), text.strip()) if s is not None))
+            label = element.get(SECTION_LABEL)
+            sections.append(f"{label}: {text.strip()}" if label else text.strip())
         elif place == AUTHOR:
             names = {part.tag: part.text or "" for part in reversed(element)}
             authors.append(" ".join(names.get(t, "") for t in AUTHOR_NAMES).strip())

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import counted
+from ..runtime import counted, settle
 
 SAVE_MODES = ("append", "overwrite", "ignore")
 DEFAULT_FORMAT = "parquet"
@@ -56,6 +56,73 @@ def save_table(
     return seen.get["rows"]
 
 
+BUCKET = "bucket"
+DEFAULT_BUCKETS = 256
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+def stored_number(spark: SparkSession, path: str, name: str) -> int | None:
+    """A number kept in a folder beside the table, so that overwriting the table keeps it."""
+    place = _beside(path, name)
+    return read_table(spark, place).first()["value"] if table_exists(spark, place) else None
+
+
+def _beside(path: str, name: str) -> str:
+    return f"{str(path).rstrip('/')}.{name}"
+
+
+def store_number(spark: SparkSession, path: str, name: str, value: int) -> None:
+    row = spark.createDataFrame([(value,)], "value long")
+    row.write.mode("overwrite").parquet(_beside(path, name))
+
+
+def create_bucketed(
+    spark: SparkSession, path: str, schema: T.StructType, buckets: int = DEFAULT_BUCKETS
+) -> bool:
+    """Create an empty table that ``upsert_bucketed`` can write; true if it was not there."""
+    fields = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    if not create_if_absent(spark, path, fields):
+        return False
+    store_number(spark, path, "buckets", buckets)
+    return True
+
+
+def upsert_bucketed(batch: DataFrame, path: str, key: str) -> int:
+    """Put rows with a unique ``key`` in the place of stored rows with that key, or
+    beside them; returns the rows written.
+
+    The table is partitioned by a hash of the key. Only the buckets that the batch
+    touches are read and written anew, the files of the others stay as they are. A run
+    that fails leaves some buckets old and some new; running the same batch again
+    completes it.
+    """
+    spark = batch.sparkSession
+    buckets = stored_number(spark, path, "buckets")
+    if buckets is None:
+        raise ValueError(f"{path} is not a bucketed table")
+    batch = settle(batch.withColumn(BUCKET, bucket_of(key, buckets)))
+    touched = [r[BUCKET] for r in batch.select(BUCKET).distinct().collect()]  # a row per bucket
+    if not touched:
+        return 0
+    stored = read_table(spark, path)
+    require_same_schema(stored, batch, path)
+    # buckets are partitions: the others are not read
+    stored = stored.select(*batch.columns).where(F.col(BUCKET).isin(touched))
+    kept = stored.join(batch.select(BUCKET, key), [BUCKET, key], "left_anti").select(*batch.columns)
+    return write_buckets(kept.unionByName(batch), path)
+
+
+def write_buckets(rows: DataFrame, path: str) -> int:
+    """Replace the buckets that ``rows`` name by ``rows``; other buckets stay. The rows
+    may come from the table itself: files are replaced when all are written."""
+    rows, seen = counted(rows.hint("rebalance", BUCKET))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(str(path))
+    return seen.get["rows"]
+
+
 def require_same_schema(table: DataFrame, batch: DataFrame, path: str) -> None:
     """Parquet takes a drifted append and fails only when read, so check first."""
     have = {f.name: f.dataType for f in table.schema}

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable
+from threading import Event
+
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..sources.bronze import csv_options, csv_schema, with_lineage
-from ..sources.tables import DEFAULT_FORMAT, is_stream_fed, read_table, table_exists
+from ..sources.tables import DEFAULT_FORMAT, is_stream_fed, table_exists
+
+#: How long the events of a query that has ended may take to arrive.
+EVENTS_SECONDS = 60
 
 
 def start_incremental_ingest(
@@ -41,15 +48,48 @@ def start_incremental_ingest(
     )
 
 
+class _Rows(StreamingQueryListener):
+    """Adds up the input rows that one query reports."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+
+def run_counted(spark: SparkSession, start: Callable[[], StreamingQuery]) -> int:
+    """Run a query that stops by itself to its end; returns the rows that its batches
+    report to have read."""
+    seen = _Rows()
+    spark.streams.addListener(seen)
+    try:
+        query = start()
+        query.awaitTermination()
+        run = str(query.runId)
+        # events arrive in order, the end after all progress
+        if not seen.ended[run].wait(EVENTS_SECONDS):
+            raise RuntimeError("the query ended, but its progress was not reported")
+        return seen.rows.get(run, 0)
+    finally:
+        spark.streams.removeListener(seen)
+
+
 def ingest_new_files(
     spark: SparkSession, input_path: str, output_path: str, checkpoint_path: str, **options
 ) -> int:
-    """Run to the end and return the rows added (counted from file footers)."""
-    fmt = options.get("fmt", DEFAULT_FORMAT)
-    known = table_exists(spark, output_path)
-    before = read_table(spark, output_path, fmt).count() if known else 0
-    query = start_incremental_ingest(
-        spark, input_path, output_path, checkpoint_path, **options
+    """Run to the end and return the rows added, as the batches report them."""
+    return run_counted(
+        spark, lambda: start_incremental_ingest(spark, input_path, output_path, checkpoint_path, **options)
     )
-    query.awaitTermination()
-    return read_table(spark, output_path, fmt).count() - before
