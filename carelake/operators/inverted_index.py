@@ -88,13 +88,19 @@ def build_index(
 
     members = rows.mapInPandas(filed, schema)
     written = save_table(members, f"{path}/members", "overwrite", partition_by=[LIST])
-    stored = read_table(spark, f"{path}/members")
+    # the columns, for an index without rows, which has no files
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/shape")
+    stored = _members(spark, path)
     stored.groupBy(LIST).agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("radius")).write.mode(
         "overwrite"
     ).parquet(f"{path}/lists")
     return written
 
 
+def _members(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(read_table(spark, f"{path}/shape").schema).parquet(f"{path}/members")
+
+
 class InvertedIndex:
     """A stored index; what is kept here is one row per list."""
 
@@ -103,7 +109,7 @@ class InvertedIndex:
             raise FileNotFoundError(f"no index at {path}; build one first")
         ship_package(spark)
         self.spark, self.key, self.vector = spark, key, vector
-        self._members = read_table(spark, f"{path}/members")
+        self._members = _members(spark, path)
         rows = read_table(spark, f"{path}/centroids").orderBy(LIST).toPandas()
         self.centroids = unit_rows(rows["vector"])
         self.sizes = {r[LIST]: (r["n"], r["radius"]) for r in read_table(spark, f"{path}/lists").collect()}
@@ -130,8 +136,10 @@ class InvertedIndex:
     ) -> DataFrame:
         """``query_key, document_key, score, rank`` of the k best rows in the probed
         lists, by cosine; equal scores rank by document key. Query keys are unique.
-        Queries whose vector is null, empty or not finite find nothing."""
-        asked = queries.where(comparable(query_key, vector))
+        Queries whose vector is null, not finite or of another length than the indexed
+        ones find nothing."""
+        same_length = F.size(vector) == self.centroids.shape[1]
+        asked = queries.where(comparable(query_key, vector) & same_length)
         asked = settle(asked.select(F.col(query_key).alias("key"), F.col(vector).alias("vector")))
         probes = min(probes or self.default_probes(), len(self.centroids))
         limits = (broadcast_values, block_values)

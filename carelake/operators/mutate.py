@@ -14,23 +14,45 @@ from ..fixed_values import PATIENT_COLUMNS
 from ..runtime import settle
 from .contract import REASONS, patient_rules, split_by_rules
 from .dedupe import keep_first, keep_latest
+from .key_filter import MAX_BITS, KeyFilter
+from .lookup import BROADCAST_BYTES, broadcast_if_small
 from .ranking import number_by_digest
 
 KEYS_IN_MESSAGE = 20
 
 
-def duplicate_mrns(existing: DataFrame, batch: DataFrame) -> DataFrame:
+def stored_mrns(
+    existing: DataFrame, mrns: DataFrame, limit: int = BROADCAST_BYTES, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """Those of the distinct ``mrns`` that the table holds.
+
+    MRNs of a batch that measure less than ``limit`` go to the table, whose rows then
+    stay where they are. More of them make a Bloom filter, so that of the table only
+    the rows that pass it are shuffled to the exact comparison. Beyond the largest
+    filter both sides are shuffled.
+    """
+    stored = existing.select("mrn")
+    sent = broadcast_if_small(mrns, limit)
+    if sent is mrns and (passed := KeyFilter.of(mrns, "mrn", max_bits)):
+        stored = passed.keep(stored, "mrn")
+    return stored.join(sent, "mrn", "left_semi").distinct()
+
+
+def duplicate_mrns(
+    existing: DataFrame, batch: DataFrame, limit: int = BROADCAST_BYTES, max_bits: int = MAX_BITS
+) -> DataFrame:
     """MRNs a batch repeats, or that the table holds already."""
-    counts = batch.groupBy("mrn").agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(batch.groupBy("mrn").agg(F.count(F.lit(1)).alias("n")))
     repeated = counts.filter(F.col("n") > 1).select("mrn")
-    known = counts.join(existing.select("mrn"), "mrn", "left_semi").select("mrn")
+    known = stored_mrns(existing, counts.select("mrn"), limit, max_bits)
     return repeated.unionByName(known).distinct()
 
 
 def new_patients(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """Batch rows whose MRN is not in the table, one per MRN."""
     once = keep_latest(batch.select(*PATIENT_COLUMNS), ["mrn"], ["admission_date"])
-    return once.join(existing.select("mrn"), "mrn", "left_anti")
+    known = settle(stored_mrns(existing, settle(batch.select("mrn").distinct())))
+    return once.join(broadcast_if_small(known), "mrn", "left_anti")
 
 
 def with_ids(existing: DataFrame | None, rows: DataFrame) -> DataFrame:

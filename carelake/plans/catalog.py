@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
+import pyarrow as pa
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,7 @@ from ..operators.nearest import top_k
 from ..operators.ranking import stratified_split, with_positions
 from ..operators.shap import Explainer
 from ..runtime import scratch_path, settle
+from ..schemas import ABSTRACT_SCHEMA
 from ..sources.articles import read_article_xml, read_corpus, write_corpus
 from ..sources.bronze import ingest_raw_csv, read_bronze, read_csv
 from ..sources.jdbc import redacted
@@ -478,7 +480,8 @@ def insert_unique(spark, sf_dir):
 
 
 def insert_conflicts(spark, sf_dir):
-    return duplicate_mrns(*_stored_and_batch(spark, sf_dir))
+    """By way of the Bloom filter, which a batch of this size would not need."""
+    return duplicate_mrns(*_stored_and_batch(spark, sf_dir), limit=-1)
 
 
 def gold_append(spark, sf_dir):
@@ -853,6 +856,24 @@ def article_xml(spark, sf_dir):
     return fingerprint(read_article_xml(spark, path))
 
 
+def corpus_array(spark, sf_dir):
+    """The documents through files that hold one JSON array each."""
+    path = scratch_path(spark, "corpus")
+    rows = corpus(spark, sf_dir)
+    texts = rows.repartition(2).select(F.to_json(F.struct(*ABSTRACT_SCHEMA.names), {"ignoreNullFields": "false"}).alias("value"))
+
+    def one_array(batches):
+        mark = "["
+        for batch in batches:
+            for text in batch["value"].to_pylist():
+                yield pa.RecordBatch.from_pydict({"value": [mark + text]})
+                mark = ","
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if mark == "[" else "]"]})
+
+    texts.mapInArrow(one_array, "value string").write.text(path)
+    return fingerprint(read_corpus(spark, path, array_file=True))
+
+
 def corpus_json(spark, sf_dir):
     path = scratch_path(spark, "corpus")
     write_corpus(corpus(spark, sf_dir), path)
@@ -1119,6 +1140,7 @@ QUERIES = {
         clinical_queries,
         article_xml,
         corpus_json,
+        corpus_array,
         corpus_first_wins,
         corpus_new,
         distinct_pmids,

@@ -65,15 +65,7 @@ def _entries(
     The last one is that of the last file, by path. Only PMIDs and places are looked
     at to find it: texts move once, to where they are written.
     """
-    # where an entry stands: its file, the split of the file, and its place in there
-    placed = read_corpus(spark, corpus_path, array_file).select(
-        "*",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("entry"),
-        ).alias("_place"),
-    )
+    placed = read_corpus(spark, corpus_path, array_file, entry="_place")
     bad = placed.where(point_id(F.col("pmid")).isNull()).select("pmid").take(1)
     if bad:
         raise ValueError(f"pmid is not a number: {bad[0].pmid!r}")

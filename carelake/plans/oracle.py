@@ -520,6 +520,7 @@ SELECT CAST(max(p) + max(n) AS BIGINT) AS n, CAST(max(p) AS BIGINT) AS n_positiv
  'TEXT: ' || trim({XML_TEXT}) || ' from' AS abstract, 'Journal ' || lang AS journal,
  CAST(1990 + doc_id % 30 AS VARCHAR) AS year, source || ' ' || upper(lang) AS authors FROM documents WHERE lang <> 'fr')""",
     "corpus_json": _with("corpus", _fingerprint("corpus")),
+    "corpus_array": _with("corpus", _fingerprint("corpus")),
     "corpus_first_wins": _with("once", _fingerprint("once", ", query")),
     "corpus_new": _with(
         "found once",

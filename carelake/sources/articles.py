@@ -8,9 +8,11 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..runtime import ship_package
 from ..schemas import ABSTRACT_SCHEMA, ARTICLE_SCHEMA, CORRUPT_RECORD
+from .json_array import read_json_array
 
 # Element names of the article format.
 ARTICLE_END = "</PubmedArticle>"
@@ -102,11 +104,20 @@ def write_corpus(abstracts: DataFrame, path: str, mode: str = "overwrite") -> No
     ).json(str(path))
 
 
-def read_corpus(spark: SparkSession, path: str, array_file: bool = False) -> DataFrame:
-    """JSON lines, or with ``array_file`` files that hold one array each."""
-    return (
-        spark.read.schema(ABSTRACT_SCHEMA)
-        .option("multiLine", array_file)
-        .option("mode", "FAILFAST")
-        .json(str(path))
+def read_corpus(
+    spark: SparkSession, path: str, array_file: bool = False, entry: str | None = None
+) -> DataFrame:
+    """JSON lines, or with ``array_file`` files that hold one array each; both are split.
+    ``entry`` names a column to add, by which rows sort as they stand in the files."""
+    if array_file:
+        ship_package(spark)
+        return read_json_array(spark, path, ABSTRACT_SCHEMA, entry)
+    lines = spark.read.schema(ABSTRACT_SCHEMA).option("mode", "FAILFAST").json(str(path))
+    if entry is None:
+        return lines
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("nth"),
     )
+    return lines.select("*", place.alias(entry))

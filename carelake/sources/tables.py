@@ -82,7 +82,8 @@ def store_number(spark: SparkSession, path: str, name: str, value: int) -> None:
 def create_bucketed(
     spark: SparkSession, path: str, schema: T.StructType, buckets: int = DEFAULT_BUCKETS
 ) -> bool:
-    """Create an empty table that ``upsert_bucketed`` can write; true if it was not there."""
+    """Create an empty table that ``upsert_bucketed`` can write; true if it was not there.
+    An empty file names the columns until the first bucket is written."""
     fields = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
     if not create_if_absent(spark, path, fields):
         return False

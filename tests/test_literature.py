@@ -258,3 +258,35 @@ def test_partial_payload_gets_defaults(spark, index):
     bare = read_table(spark, str(index / "v1")).select("point_id", "vector", "pmid")
     got = retrieve(spark.createDataFrame([("stroke",)], "query string"), bare, k=1).first()
     assert (got.pmid, got.title, got.authors) == ("3", "", [])
+
+
+@pytest.mark.parametrize("size", ["64", "1000", "134217728"])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_array_files_are_split(spark, tmp_path, size, indent):
+    from carelake.sources.json_array import read_json_array
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("id int, text string, more struct<a: string, deep: struct<b: string>>, tags array<struct<t: string>>")
+    hard = ['plain', '{', '}', '"', '\\', '\\"}{"', '}],[{', 'é{日本}', '"{\\\\"', '', "x" * 300]
+    for name, n in (("a.json", 60), ("b.json", 0), ("c.json", 1)):
+        rows = [
+            {"id": i, "text": hard[i % len(hard)], "more": {"a": hard[(i + 3) % len(hard)], "deep": {"b": "}"}}, "tags": [{"t": "{"}, {"t": t}]}
+            for i, t in ((i, hard[(i * 7) % len(hard)]) for i in range(n))
+        ]
+        (tmp_path / name).write_text(json.dumps(rows, indent=indent, ensure_ascii=n > 1))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = sorted((r.id, r.text, r.more.a, r.tags[1].t) for r in read_json_array(spark, str(tmp_path), schema).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = [(i, hard[i % 11], hard[(i + 3) % 11], hard[(i * 7) % 11]) for i in range(60)]
+    assert got == sorted([*want, want[0]])
+
+
+def test_broken_array_fails(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"pmid": "1"}, {"pmid": "2"')
+    with pytest.raises(Exception):
+        read_corpus(spark, str(tmp_path), array_file=True).collect()

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from carelake.operators.lookup import attach
@@ -36,3 +37,25 @@ def test_hot_key_of_a_large_lookup_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_key_filter_passes_all_members_and_few_others(spark):
+    from carelake.operators.key_filter import KeyFilter
+
+    members = spark.range(20_000).selectExpr("concat('m', id) AS mrn")
+    others = spark.range(20_000).selectExpr("concat('x', id) AS mrn")
+    made = KeyFilter.of(members, "mrn")
+    assert made.keep(members, "mrn").count() == 20_000
+    assert made.keep(others, "mrn").count() < 200
+    assert KeyFilter.of(members, "mrn", max_bits=1000) is None
+    assert KeyFilter.of(members.limit(0), "mrn").keep(others, "mrn").count() == 0
+
+
+@pytest.mark.parametrize("limits", [{}, {"limit": -1}, {"limit": -1, "max_bits": 0}], ids=["sent", "filtered", "shuffled"])
+def test_conflicts_are_exact_whichever_way(spark, limits):
+    from carelake.operators.mutate import duplicate_mrns
+
+    stored = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 'hot' WHEN id < 1005 THEN NULL ELSE concat('m', id) END AS mrn")
+    batch = spark.createDataFrame([("m1500",), ("new",), ("new",), ("hot",), (None,), ("x",)], "mrn string")
+    got = [r.mrn for r in duplicate_mrns(stored, batch, **limits).collect()]
+    assert sorted(got) == ["hot", "m1500", "new"]
