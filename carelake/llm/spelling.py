@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.lookup import broadcast_if_small
 from ..runtime import settle
-from .common import CRC_TABLE_SQL, attach_small, crc32_sql, in_tasks
+from .common import BROADCAST_BYTES, CRC_TABLE_SQL, attach_small, crc32_sql, in_tasks
 
 LEAST_LENGTH = 6
 LEAST_COUNT = 5
@@ -56,37 +56,46 @@ INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 def spelled(run: str, start: int) -> str:
     """The word that a run counts as; ``start`` is the checksum of its document."""
     low = run.translate(SMALL)
-    h = zlib.crc32(low.encode(), start)
+    return _changed(low.encode(), zlib.crc32(low.encode(), start)).decode()
+
+
+def _changed(low: bytes, h: int) -> bytes:
     if h % DELETED:
         return low
-    at = h % len(low)
-    return low[:at] + low[at + 1 :]
+    word = low.decode()
+    at = h % len(word)
+    return (word[:at] + word[at + 1 :]).encode()
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: Counter = Counter()
+    total: dict[bytes, int] = {}
+    known: dict[str, bytes] = {}
 
     def flushed() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"]
-        )
+        words, n = pa.array(list(total), pa.binary()).cast(pa.string()), pa.array(list(total.values()), pa.int64())
         total.clear()
-        return batch
+        known.clear()
+        return pa.RecordBatch.from_arrays([words, n], ["word", "n"])
 
     for batch in batches:
-        # text by text: long ones are never held twice
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
             if not text.is_valid:
                 continue
-            start = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
-            start = zlib.crc32(b":", start)
+            start = zlib.crc32(b"%s:" % (b"" if doc_id is None else str(doc_id).encode()))
             # a run of at least six letters matches from its first letter to its last
-            for run, n in Counter(map(re.Match.group, RUN.finditer(text.as_py()))).items():
-                word = spelled(run, start)
-                if len(word) >= LEAST_LENGTH:
-                    total[word] += n
-            if len(total) >= COUNTED:
-                yield flushed()
+            for match in RUN.finditer(text.as_py()):
+                run = match[0]
+                low = known.get(run)
+                if low is None:
+                    low = known[run] = run.translate(SMALL).encode()
+                h = zlib.crc32(low, start)
+                if h % DELETED == 0:
+                    low = _changed(low, h)
+                    if len(low.decode()) < LEAST_LENGTH:
+                        continue
+                total[low] = total.get(low, 0) + 1
+                if len(total) >= COUNTED:
+                    yield flushed()
     yield flushed()
 
 
@@ -104,6 +113,25 @@ def alphabet(symbols: int) -> str:
     return "".join(LETTERS[zlib.crc32(c.encode()) % symbols] for c in LETTERS)
 
 
+#: Symbol, from 1, of each code point up to U+00FF. Reduced words are written with
+#: the first letters, so the table holds for them too.
+_SYMBOL = np.zeros(0x100, np.uint64)
+_SYMBOL[[ord(c) for c in LETTERS]] = np.arange(1, len(LETTERS) + 1)
+
+
+def by_length(words: list[str], most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of words of one length, at most ``most`` letters at a time, and their
+    symbols as rows."""
+    length = np.array([len(w) for w in words], np.int64)
+    for n in np.unique(length):
+        places = np.nonzero(length == n)[0]
+        step = max(1, most // max(int(n), 1))
+        for at in range(0, len(places), step):
+            part = places[at : at + step]
+            points = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le"), np.uint32)
+            yield part, _SYMBOL[points].reshape(len(part), n)
+
+
 def _powers(n: int) -> np.ndarray:
     powers = np.full(n, BASE, np.uint64)
     powers[0] = 1
@@ -115,82 +143,82 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
-def _sums(codes: np.ndarray, power: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * power[: len(codes)], dtype=np.uint64)])
+def _before(codes: np.ndarray) -> np.ndarray:
+    """Hash of what stands before each place of each row, and of the whole row last."""
+    sums = np.cumsum(codes * _powers(codes.shape[1] + 1)[: codes.shape[1]], axis=1, dtype=np.uint64)
+    return np.concatenate([np.zeros((len(codes), 1), np.uint64), sums], axis=1)
 
 
-def key_of(codes: np.ndarray) -> int:
-    """The hash of a string of symbols."""
-    return int(_mixed(_sums(codes, _powers(len(codes) + 1))[-1:])[0])
+def keys_of(codes: np.ndarray) -> np.ndarray:
+    """The hash of each row of symbols."""
+    return _mixed(_before(codes)[:, -1])
 
 
-def neighbour_keys(codes: np.ndarray, symbols: int) -> Iterator[np.ndarray]:
-    """Hashes of a string of symbols and of all strings one edit from it, in parts
-    of bounded size; within a part each once."""
-    n = len(codes)
+def neighbour_keys(codes: np.ndarray, symbols: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows, and hashes of the row and of all strings one edit from it, each string
+    once, in parts of bounded size: of equal neighbours that edits at different places
+    make, the one at the last place is taken."""
+    rows, n = codes.shape
     power = _powers(n + 2)
-    before = _sums(codes, power)
-    total = before[-1]
+    before = _before(codes)
+    total = before[:, -1:]
     every = np.arange(1, symbols + 1, dtype=np.uint64)
-    step = max(1, KEYS // symbols)
+    yield np.arange(rows), _mixed(total[:, 0])
+    step = max(1, KEYS // (max(rows, 1) * 2 * symbols))
     for at in range(0, n + 1, step):
         i = np.arange(at, min(at + step, n + 1))
         j = i[i < n]
-        replaced = total + (every[None, :] - codes[j][:, None]) * power[j][:, None]
-        inserted = (before[i] + (total - before[i]) * BASE)[:, None] + every[None, :] * power[i][:, None]
-        deleted = before[j] + (total - before[j + 1]) * INVERSE
-        yield np.unique(_mixed(np.concatenate([replaced.ravel(), inserted.ravel(), deleted])))
-
-
-#: Symbol, from 1, of each code point up to U+00FF. Reduced words are written with
-#: the first letters, so the table holds for them too.
-_SYMBOL = np.zeros(0x100, np.uint64)
-_SYMBOL[[ord(c) for c in LETTERS]] = np.arange(1, len(LETTERS) + 1)
-
-
-def _codes(word: str) -> np.ndarray:
-    return _SYMBOL[np.frombuffer(word.encode("utf-32-le"), np.uint32)]
+        other = every != codes[:, j, None]
+        replaced = total[:, :, None] + (every - codes[:, j, None]) * power[j][None, :, None]
+        # before an equal symbol it would be the same as behind it
+        fresh = np.ones((rows, len(i), symbols), bool)
+        fresh[:, : len(j)] = other
+        inserted = (before[:, i] + (total - before[:, i]) * BASE)[:, :, None] + every * power[i][None, :, None]
+        deleted = before[:, j] + (total - before[:, j + 1]) * INVERSE
+        last = np.ones(deleted.shape, bool)
+        inner = j < n - 1
+        last[:, inner] = codes[:, j[inner]] != codes[:, j[inner] + 1]
+        held = [np.nonzero(m) for m in (other, fresh, last)]
+        owners = np.concatenate([h[0] for h in held])
+        keys = np.concatenate([made[h] for made, h in zip((replaced, inserted, deleted), held)])
+        yield owners, _mixed(keys)
 
 
 def with_keys(words: DataFrame, word: str) -> DataFrame:
-    """(``word``, key): the hash of each string."""
+    """(id, key): the hash of each string."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [key_of(_codes(w)) for w in batch[word].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch[word], pa.array(keys, pa.int64())], [word, "key"])
+            keys = np.zeros(batch.num_rows, np.int64)
+            for places, codes in by_length(batch[word].to_pylist(), KEYS):
+                keys[places] = keys_of(codes)
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(keys)], ["id", "key"])
 
-    return in_tasks(words.select(word), keyed, f"{word} string, key long")
+    return in_tasks(words.select("id", word), keyed, "id long, key long")
 
 
 def with_neighbours(words: DataFrame, word: str, symbols: int) -> DataFrame:
-    """(``word``, key): hashes of each string's whole one-edit neighbourhood over the
-    first ``symbols`` symbols."""
+    """(id, key): hashes of each string's whole one-edit neighbourhood over the first
+    ``symbols`` symbols."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, keys, size = [], [], 0
-            for w in batch[word].to_pylist():
-                for part in neighbour_keys(_codes(w), symbols):
-                    held.append((w, len(part)))
-                    keys.append(part)
-                    size += len(part)
-                    if size >= KEYS:
-                        yield _spread(held, keys, word)
-                        held, keys, size = [], [], 0
-            if keys:
-                yield _spread(held, keys, word)
+            ids = batch["id"].to_numpy()
+            for places, codes in by_length(batch[word].to_pylist(), max(1, KEYS // (2 * symbols))):
+                for rows, keys in neighbour_keys(codes, symbols):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[places[rows]]), pa.array(keys)], ["id", "key"])
 
-    return in_tasks(words.select(word), spread, f"{word} string, key long")
+    return in_tasks(words.select("id", word), spread, "id long, key long")
 
 
-def _spread(held: list, keys: list, word: str) -> pa.RecordBatch:
-    place = np.repeat(np.arange(len(held)), [n for _, n in held])
-    names = pa.array([w for w, _ in held], pa.string()).take(pa.array(place))
-    return pa.RecordBatch.from_arrays([names, pa.array(np.concatenate(keys))], [word, "key"])
+# --- pairs ------------------------------------------------------------------------
 
 
-# --- pairs ------------------------------------------------------------------------
+def _met(probes: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, other) of probes and known strings with equal keys, each pair once. Known
+    strings are broadcast if they measure small: then no probe moves."""
+    held = known.select("key", F.col("id").alias("other"))
+    return settle(probes.join(broadcast_if_small(held, BROADCAST_BYTES), "key").select("id", "other").distinct())
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
@@ -200,30 +228,32 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 def near_pairs(words: DataFrame, symbols: int = SYMBOLS, bucket: int = BUCKET) -> DataFrame:
     """(word, near) for all pairs of distinct ``word`` s one edit apart, both ways."""
-    named = settle(words.select("word", F.translate("word", LETTERS, alphabet(symbols)).alias("form")))
-    buckets = named.groupBy("form").agg(F.count(F.lit(1)).alias("size"))
-    known = settle(buckets.join(with_keys(buckets, "form"), "form"))
-    far = known.select("key", F.col("form").alias("other"), F.col("size").alias("other_size"))
-    # two neighbours of a form may have one hash, and long words come in parts
-    met = with_neighbours(known, "form", symbols).join(far, "key").drop("key").distinct()
-    met = settle(met.join(known.select("form", "size"), "form"))
-
-    small = met.where((F.col("size") <= bucket) & (F.col("other_size") <= bucket))
-    others = named.select(F.col("form").alias("other"), F.col("word").alias("near"))
-    found = _verified(small.join(named, "form").join(others, "other"))
-
-    hot = met.where((F.col("size") > bucket) | (F.col("other_size") > bucket))
+    reduced = words.select("word", F.translate("word", LETTERS, alphabet(symbols)).alias("form"))
+    forms = reduced.groupBy("form").agg(F.count(F.lit(1)).alias("size"))
+    forms = settle(forms.withColumn("id", F.monotonically_increasing_id()))
+    named = settle(reduced.join(forms, "form").select("word", "id", "size"))
+    known = settle(with_keys(forms, "form"))
+    # few bytes, much work: the strings are dealt anew
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    met = _met(with_neighbours(forms.repartition(tasks, "id"), "form", symbols), known)
+    size = forms.select("id", "size")
+    met = met.join(broadcast_if_small(size, BROADCAST_BYTES), "id")
+    met = met.join(broadcast_if_small(size.toDF("other", "other_size"), BROADCAST_BYTES), "other")
+
+    small = met.where((F.col("size") <= bucket) & (F.col("other_size") <= bucket)).select("id", "other")
+    others = named.select(F.col("id").alias("other"), F.col("word").alias("near"))
+    found = _verified(small.join(named.select("id", "word"), "id").join(others, "other"))
+
+    hot = met.where((F.col("size") > bucket) | (F.col("other_size") > bucket)).select("id").distinct()
     if hot.isEmpty():
         return found
-    sized = known.select("form", (F.col("size") > bucket).alias("hot"))
-    again = settle(named.join(hot.select("form").distinct(), "form", "left_semi").join(sized, "form"))
-    whole = len(LETTERS)
-    spread = with_neighbours(again, "word", whole).distinct()
-    keys = with_keys(again, "word").withColumnRenamed("word", "near")
-    pairs = _verified(spread.join(keys, "key"))
+    again = named.join(hot, "id", "left_semi").select("word", (F.col("size") > bucket).alias("hot"))
+    again = settle(again.withColumn("id", F.monotonically_increasing_id()))
+    pairs = _met(with_neighbours(again.repartition(tasks, "id"), "word", len(LETTERS)), with_keys(again, "word"))
+    one, two = again.select("id", "word", "hot"), again.toDF("near", "near_hot", "other")
     # pairs of words from small buckets were found above
-    one, two = again.select("word", "hot"), again.select(F.col("word").alias("near"), F.col("hot").alias("near_hot"))
-    return found.unionByName(pairs.join(one, "word").join(two, "near").where("hot or near_hot").select("word", "near"))
+    whole = pairs.join(one, "id").join(two, "other").where("hot or near_hot")
+    return found.unionByName(_verified(whole))
 
 
 def roots(forms: DataFrame) -> DataFrame:
