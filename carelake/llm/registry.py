@@ -108,16 +108,27 @@ ORACLE = {
     "op12_spelling_reduced_alphabet": spelling.oracle(),
     "op13_merkle_pointer_jumping": merkle.oracle(),
     "op5_url_temporal_lists": r"""
-WITH captures AS (
-  SELECT page_id, url,
-    DATE '2023-01-01' + (('0x' || substr(md5(concat_ws('|', 'fetch', page_id::VARCHAR, url)), 1, 7))::BIGINT % 730)::INT AS fetched,
-    nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1), '\.+$', ''), '') AS host
+WITH trimmed AS (
+  SELECT page_id, url, regexp_replace(lower(url), '^[\x00-\x20]+', '') AS u,
+    DATE '2023-01-01' + (('0x' || substr(md5(concat_ws('|', 'fetch', page_id::VARCHAR, url)), 1, 7))::BIGINT % 730)::INT AS fetched
   FROM pages
+), places AS (
+  SELECT *, CASE WHEN regexp_full_match(split_part(u, '://', 1), '[a-z][a-z0-9+.-]*') AND strpos(u, '://') > 0
+    THEN regexp_extract(substr(u, strpos(u, '://') + 3), '^[^/?#]*') END AS place
+  FROM trimmed
+), named AS (
+  SELECT *, list_last(string_split(place, '@')) AS at FROM places
+), hosted AS (
+  SELECT *, rtrim(CASE WHEN at LIKE '[%]%' THEN substr(at, 1, strpos(at, ']')) WHEN at LIKE '[%' THEN ''
+    ELSE split_part(at, ':', 1) END, '.') AS h
+  FROM named
+), captures AS (
+  SELECT page_id, url, fetched, CASE WHEN length(h) BETWEEN 1 AND 253 THEN h END AS host FROM hosted
 ), hosts AS (
   SELECT DISTINCT host FROM captures WHERE host IS NOT NULL
 ), host_keys AS (
   SELECT host, array_to_string(string_split(host, '.')[i:], '.') AS key
-  FROM hosts, unnest(range(1, len(string_split(host, '.')) + 1)) AS t(i)
+  FROM hosts, unnest(range(1, len(string_split(host, '.')) + 1)) AS t(i) WHERE host NOT LIKE '[%' OR i = 1
 ), drawn AS (
   SELECT key, 'entry|' || key || '|' || n AS name
   FROM (SELECT DISTINCT key FROM host_keys WHERE key LIKE '%.%'), unnest([1, 2, 3, 4]) AS t(n)

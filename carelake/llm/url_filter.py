@@ -3,12 +3,15 @@
 A list is a log of dated entries: from a date on, a key (a host or a parent
 domain) is blocked, or allowed again. Entries of a key become intervals that end
 where the next entry begins. Each capture gives its host and all parent domains
-as keys; each key meets at most one interval that holds the capture's date; the
-longest key with an active entry decides.
+as keys; each key meets at most one interval that holds the capture's date, which is
+looked for among the intervals of the key in that month; the longest key with an
+active entry decides.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +20,18 @@ from ..runtime import settle
 BLOCK, ALLOW = "block", "allow"
 
 
+#: Longer names are no hosts.
+LONGEST_HOST = 253
+
+
 def host_of(url: Column) -> Column:
-    """Lower-case host without user, port and final dot; null if there is none."""
-    authority = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1)
-    host = F.regexp_replace(authority, r"\.+$", "")
-    return F.when(host != "", host)
+    """Lower-case host without user, port and final dot; null if there is none.
+    Blanks and control characters before the address don't count. A numeric address
+    in brackets keeps them. A host over 253 characters is none."""
+    plain = F.regexp_replace(F.lower(url), r"^[\x00-\x20]+", "")
+    place = r"^[a-z][a-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^\[/:?#][^/:?#]*)"
+    host = F.regexp_replace(F.regexp_extract(plain, place, 1), r"\.+$", "")
+    return F.when((host != "") & (F.length(host) <= LONGEST_HOST), host)
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -43,9 +53,26 @@ def intervals(entries: DataFrame) -> DataFrame:
     )
 
 
+def by_month(active: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """Intervals with each ``month`` that they hold a day of, from ``first`` to ``last``.
+    Joined by key and month, a capture meets the intervals of its month alone, 31 at
+    most, and the captures of a hot key are spread over the months."""
+    if first is None:
+        return active.limit(0).withColumn("month", F.col("since"))
+    held = active.withColumns(
+        {
+            "from": F.greatest("since", F.lit(first)),
+            "to": F.least(F.coalesce(F.date_sub("until", 1), F.lit(last)), F.lit(last)),
+        }
+    ).where(F.col("from") <= F.col("to"))
+    months = F.sequence(F.trunc("from", "month"), F.trunc("to", "month"), F.expr("interval 1 month"))
+    return held.withColumn("month", F.explode(months)).drop("from", "to")
+
+
 def keys_of(host: Column) -> Column:
-    """The host and every parent domain down to the last label, longest first."""
-    labels = F.split(host, r"\.")
+    """The host and every parent domain down to the last label, longest first; an
+    address in brackets has none."""
+    labels = F.when(host.startswith("["), F.array(host)).otherwise(F.split(host, r"\."))
     return F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
@@ -64,9 +91,10 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """
     rows = captures.select("page_id", "url", "fetched", host_of(F.col("url")).alias("host"))
     days = settle(rows.where("host is not null and fetched is not null").select("host", "fetched").distinct())
-    active = settle(intervals(entries))
-    asked = days.select("host", "fetched", F.explode(keys_of(F.col("host"))).alias("key"))
-    hits = asked.join(active, "key").where("since <= fetched AND (until IS NULL OR fetched < until)")
+    span = days.agg(F.min("fetched").alias("first"), F.max("fetched").alias("last")).first()  # one row
+    active = settle(by_month(intervals(entries), span["first"], span["last"]))
+    asked = days.select("host", "fetched", F.trunc("fetched", "month").alias("month"), F.explode(keys_of(F.col("host"))).alias("key"))
+    hits = asked.join(active, ["key", "month"]).where("since <= fetched AND (until IS NULL OR fetched < until)")
     best = F.max_by(F.struct(F.col("key").alias("matched"), F.col("since").alias("listed_since"), "action"), F.length("key"))
     verdicts = hits.groupBy("host", "fetched").agg(best.alias("entry")).select("host", "fetched", "entry.*")
     judged = rows.join(verdicts, ["host", "fetched"], "left")
