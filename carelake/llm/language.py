@@ -40,18 +40,56 @@ EVIDENCE_PAGES = 2.0
 #: At least this share stays with every language in each piece of evidence.
 FLOOR = 0.02
 
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
-DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-zA-Z]{2,8})", re.I)
+#: Languages that the model can hold: it has a row of counts for each.
+MOST_LANGUAGES = 256
+
+RAW = re.compile(r"<(script|style)\b", re.I)
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
+ROOT = re.compile(r"<html\b", re.I)
+LANG = re.compile(r"\blang\s*=\s*(?:[\"']\s*)?([a-zA-Z]{2,8})", re.I)
 
 
 def visible_text(page: str | None) -> str:
-    """Text without comments, scripts, styles and tags."""
-    return html.unescape(HIDDEN.sub(" ", page or ""))
+    """Text without comments, scripts, styles and tags, each of which becomes a space.
+    What is opened but never closed is a tag up to the next ``>``, or text.
+
+    One pass: that an end is missing is looked up once, so the time grows with the
+    length of the page, whatever is in it.
+    """
+    page = page or ""
+    shown, at, missing = [], 0, set()
+    while (start := page.find("<", at)) >= 0:
+        end = -1
+        if page.startswith("<!--", start) and "-->" not in missing:
+            if (end := page.find("-->", start + 4)) < 0:
+                missing.add("-->")
+            else:
+                end += 3
+        if end < 0 and (raw := RAW.match(page, start)) and (name := raw[1].lower()) not in missing:
+            if close := RAW_END[name].search(page, raw.end()):
+                end = close.end()
+            else:
+                missing.add(name)
+        if end < 0:
+            end = page.find(">", start) + 1
+            if not end:
+                break
+        shown += (page[at:start], " ")
+        at = end
+    shown.append(page[at:])
+    return html.unescape("".join(shown))
 
 
 def declared_language(page: str | None) -> str | None:
-    found = DECLARED.search(page or "")
-    return found[1].lower() if found else None
+    """The lang of the first html tag that has one, in lower case; in one pass."""
+    page = page or ""
+    at = 0
+    while root := ROOT.search(page, at):
+        at = page.find(">", root.end())
+        at = len(page) if at < 0 else at
+        if found := LANG.search(page, root.end(), at):
+            return found[1].lower()
+    return None
 
 
 def _counts(languages: list[str]) -> Callable:
@@ -73,12 +111,14 @@ def _counts(languages: list[str]) -> Callable:
 def train_languages(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Language names and log-likelihoods (a row each) from all (text, lang) rows.
 
-    Null languages teach nothing; null texts are empty. The counts that reach the
-    driver are one per language and bucket.
+    Null languages teach nothing; null texts are empty. More than MOST_LANGUAGES are
+    refused. The counts that reach the driver are one per language and bucket.
     """
     known = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where("lang is not null")
-    languages = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    languages = sorted(r["lang"] for r in known.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"lang has over {MOST_LANGUAGES} values; are they languages?")
     counts = np.full((len(languages), BUCKETS), SMOOTHING)
     counted = in_tasks(known, _counts(languages), "language long, bucket long, n long")
     found = counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
@@ -143,13 +183,14 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     read = in_tasks(rows, _read(likelihoods), f"page_id {kind}, url string, declared string, shares array<double>")
     own = [f"own_{i}" for i in range(len(languages))]
     host = host_of(F.col("url"))
+    numeric = host.rlike(r"^([0-9.]+|\[.*\])$")
     read = read.select(
         "page_id",
         "url",
         "declared",
         host.alias("host"),
-        F.when(host.rlike(r"^[0-9.]+$"), host).otherwise(F.substring_index(host, ".", -2)).alias("domain"),
-        F.when(~host.rlike(r"^[0-9.]+$"), F.substring_index(host, ".", -1)).alias("suffix"),
+        F.when(numeric, host).otherwise(F.substring_index(host, ".", -2)).alias("domain"),
+        F.when(~numeric, F.substring_index(host, ".", -1)).alias("suffix"),
         *(F.get("shares", i).alias(n) for i, n in enumerate(own)),
     )
     read = settle(read)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -180,3 +181,103 @@ def test_text_of_a_page():
     page = "<html LANG='de-AT'><!-- <b>x</b> --><style>p{}</style><p>a&amp;b<br>c</p><script>1<2</script>"
     assert language.visible_text(page).split() == ["a&b", "c"]
     assert language.declared_language(page) == "de" and language.declared_language("<p>") is None
+
+
+OLD = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
+
+
+def test_pages_are_read_as_by_the_plain_pattern():
+    draw = random.Random(9)
+    parts = ["<!--", "-->", "<script", "<style>", "</script >", "</STYLE>", "</script", "<", ">", "a", " ", "<p>", "<!-", "->", "\n", "<scripts>"]
+    for _ in range(4000):
+        page = "".join(draw.choices(parts, k=draw.randrange(14)))
+        assert language.visible_text(page) == OLD.sub(" ", page)
+    roots = ["<html", " lang", "=", "'", '"', " ", "de", "EN-x", ">", "x", "\n"]
+    plain = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-zA-Z]{2,8})", re.I)
+    for _ in range(20_000):
+        page = "".join(draw.choices(roots, k=draw.randrange(12)))
+        found = plain.search(page)
+        assert language.declared_language(page) == (found and found[1].lower())
+
+
+@pytest.mark.parametrize("part", ["<script>", "<!--", "<html ", "<", "<style", "</script ", "<html lang=", "lang ", "<html lang=" + " " * 50])
+def test_reading_a_page_takes_time_by_its_length(part):
+    page = part * (1_000_000 // len(part))
+    start = time.process_time()
+    language.visible_text(page)
+    language.declared_language(page)
+    language.declared_language("<html " + page)
+    assert time.process_time() - start < 3
+
+
+def test_posteriors_match_plain_sums(spark, make):
+    """Every step again with dictionaries, for a table with all kinds of evidence."""
+    draw = random.Random(4)
+    docs = [(i, prose(n, draw, 20), n, "s") for i, n in enumerate(list(SOUNDS) * 4)]
+    rows = []
+    for i in range(60):
+        name = draw.choice(list(SOUNDS))
+        host = draw.choice(["a.x.aa", "b.x.aa", "www.y.bb", "10.0.0.1", "[::1]", "z.cc"])
+        lang = draw.choice(["", f' lang="{draw.choice(list(SOUNDS))}"'])
+        rows.append((i, draw.choice([f"http://{host}/p", None]), f"<html{lang}><p>{prose(name, draw, draw.randrange(4))}</p>"))
+    rows += [(70, None, None), rows[3]]
+
+    languages = sorted(SOUNDS)
+    counts = {n: Counter() for n in languages}
+    for _, text, name, _ in docs:
+        for some in language.hashed(text, language.LENGTHS, language.BITS):
+            counts[name].update(some.tolist())
+    size = {n: sum(counts[n].values()) + language.SMOOTHING * language.BUCKETS for n in languages}
+
+    def shares(page):
+        text = language.visible_text(page)
+        if not text.strip():
+            return [1 / 3] * 3
+        seen = [b for some in language.hashed(text, language.LENGTHS, language.BITS) for b in some.tolist()]
+        logs = [sum(language.TEMPER * np.log((counts[n][b] + language.SMOOTHING) / size[n]) for b in seen) for n in languages]
+        raised = [np.exp(max(x - max(logs), -language.MOST)) for x in logs]
+        return [x / sum(raised) for x in raised]
+
+    pages = []
+    for page_id, url, page in rows:
+        host = re.match("http://([^/]*)", url)[1] if url else None
+        numeric = host and (host[0] == "[" or re.fullmatch("[0-9.]+", host))
+        domain = host if numeric or not host else ".".join(host.split(".")[-2:])
+        suffix = None if numeric or not host else host.split(".")[-1]
+        pages.append((page_id, shares(page), {"declared": language.declared_language(page), "suffix": suffix, "domain": domain, "host": host}))
+    total = [sum(p[1][i] for p in pages) + 1e-9 for i in range(3)]
+    overall = [x / sum(total) for x in total]
+
+    def others(page, key, i):
+        value = page[2][key]
+        return 0.0 if value is None else max(0.0, sum(p[1][i] for p in pages if p[2][key] == value) - page[1][i])
+
+    def number(page, key):
+        return sum(p[2][key] == page[2][key] for p in pages) - 1 if page[2][key] is not None else 0
+
+    want = {}
+    for page in pages:
+        logs = []
+        for i in range(3):
+            domain = (others(page, "domain", i) + 5 * overall[i]) / (number(page, "domain") + 5)
+            prior = (others(page, "host", i) + 5 * domain) / (number(page, "host") + 5)
+            log = np.log(page[1][i]) + np.log(max(language.FLOOR, prior))
+            for key in ("declared", "suffix"):
+                if page[2][key] is not None:
+                    share = (others(page, key, i) + 2 * overall[i]) / (number(page, key) + 2)
+                    log += np.log(max(language.FLOOR, share)) - np.log(max(language.FLOOR, overall[i]))
+            logs.append(log)
+        best = int(np.argmax(logs))
+        want[page[0]] = (languages[best], 1 / sum(np.exp(x - max(logs)) for x in logs))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = language.identify(frame, make(docs)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.language == want[r.page_id][0]
+        assert r.confidence == pytest.approx(want[r.page_id][1], abs=2e-6)
+
+
+def test_too_many_languages_are_refused(spark, make):
+    docs = make([(i, "x", f"l{i}", "s") for i in range(language.MOST_LANGUAGES + 1)])
+    with pytest.raises(ValueError, match="languages"):
+        language.train_languages(docs)
