@@ -18,7 +18,9 @@ def brute(rows, k):
     for i, v in good:
         if i % 100:
             continue
-        near = sorted((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(v, w)))), j) for j, w in good if (j, w) != (i, v) and len(w) == len(v))
+        with np.errstate(over="ignore"):
+            gap = lambda w: float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum()))
+            near = sorted((gap(w), j) for j, w in good if (j, w) != (i, v) and len(w) == len(v))
         out += [(i, rank, j, d) for rank, (d, j) in enumerate(near[:k], 1)]
     return sorted(out)
 

@@ -65,7 +65,9 @@ def corpus(seed, n):
                 w = w[:at] + draw.choice(["", draw.choice(letters), draw.choice(letters) + w[at]]) + w[at + 1 :]
             words.append(w.upper() if draw.random() < 0.1 and w.isascii() else w)
         rows.append((i, draw.choice([" ", "-", "1", "Š"]).join(words)))
-    return rows
+    # each is one edit from the one before it, and two from the one before that
+    chain = "zzzzzza " * 300 + "zzzzzzb " * 40 + "zzzzzbb " * 6
+    return rows + [(n + i, w) for i, w in enumerate(chain.split())]
 
 
 @pytest.mark.parametrize("bucket", [1, 64])
