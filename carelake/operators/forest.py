@@ -78,6 +78,7 @@ def train_model(
                 maxDepth=max_depth,
                 maxBins=max_bins,
                 maxMemoryInMB=512,
+                cacheNodeIds=True,
                 featureSubsetStrategy="sqrt",
                 seed=random_state,
             ),
