@@ -133,20 +133,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.n
     return at[:-1].astype(np.float64), float(at[-1])
 
 
-def _fitted(size: int) -> Callable:
+def _fitted(size: int, expected: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, labels, weights = [], [], []
+        labels, weights = [], []
+        # filled in place; memory is taken as rows are written
+        x = np.zeros((expected + expected // 4 + 1000, size), dtype=np.float32)
         for batch in batches:
+            at = len(labels)
             labels += batch["label"].to_pylist()
             weights += batch["weight"].to_pylist()
-            for column, value in zip(batch["column"], batch["value"]):
-                row = np.zeros(size, dtype=np.float32)
-                row[column.values.to_numpy()] = value.values.to_numpy()
-                rows.append(row)
-        if rows:
-            x = np.stack(rows)
-            rows.clear()
-            coefficients, intercept = fit_logistic(x, np.array(labels), np.array(weights))
+            if len(labels) > len(x):
+                x = np.concatenate([x, np.zeros((len(labels), size), dtype=np.float32)])
+            for i, (column, value) in enumerate(zip(batch["column"], batch["value"]), at):
+                x[i, column.values.to_numpy()] = value.values.to_numpy()
+        if labels:
+            coefficients, intercept = fit_logistic(x[: len(labels)], np.array(labels), np.array(weights))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([coefficients], pa.list_(pa.float64())), pa.array([intercept])],
                 ["coefficients", "intercept"],
@@ -196,7 +197,8 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES)
 
     shares = [min(1.0, fit_rows / 2 / n[label]) for label in (0, 1)]
     share = F.when(F.col("label") == 1, shares[1]).otherwise(shares[0])
-    drawn = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) < share * 1_000_003
+    # by row, not by key: the rows of a key that many rows share are drawn apart
+    drawn = F.pmod(F.xxhash64("key", F.monotonically_increasing_id()), F.lit(1_000_003)) < share * 1_000_003
     weight = F.when(F.col("label") == 1, 1 / shares[1]).otherwise(1 / shares[0])
     sample = in_tasks(
         texts.where(drawn).select("text", "label", weight.alias("weight"), "key"),
@@ -204,7 +206,7 @@ def train(texts: DataFrame, fit_rows: int = FIT_ROWS, features: int = FEATURES)
         "column array<int>, value array<double>, label int, weight double, key long",
     )
     ordered = sample.repartition(1).sortWithinPartitions("key")
-    fit = in_tasks(ordered, _fitted(len(chosen)), "coefficients array<double>, intercept double").first()
+    fit = in_tasks(ordered, _fitted(len(chosen), int(min(fit_rows, n.sum()))), "coefficients array<double>, intercept double").first()
     return Classifier(place, ratio * np.array(fit["coefficients"]), fit["intercept"])
 
 
@@ -247,7 +249,10 @@ def score(docs: DataFrame, model: Classifier) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Classifier) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose text scores below one half."""
+    """The rows of ``docs``, unchanged, whose text scores below one half. A classifier
+    that had no label of one kind tells no texts apart and rejects none."""
+    if not model.weights.any():
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
