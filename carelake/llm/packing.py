@@ -36,7 +36,7 @@ DIMENSIONS = 3
 ORDER = 12
 VECTOR = 256
 #: Words whose tokens a worker remembers; it then forgets all and starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 SEED = 7
 SPECIAL = "<|endoftext|>"
 
@@ -99,7 +99,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors -= 1 / np.sqrt(VECTOR)  # the mean direction says nothing
         keys = hilbert_keys(cells_of(vectors @ projection()))
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["text"], pa.array(keys)], ["doc_id", "text", "curve"]
+            [batch["doc_id"], batch["text"], batch["row"], pa.array(keys)], ["doc_id", "text", "row", "curve"]
         )
 
 
@@ -235,16 +235,17 @@ def pack(docs: DataFrame, json_path: str, ranks_path: str, pattern: str, length:
     A document is its ids and the id END; a null or empty text is END alone.
     Sequences have ``length`` tokens, or a smaller power of two at the end of a
     range. Rows without doc_id and repeated rows are packed like any other. Equal
-    keys are spread over ranges by a hash of the doc_id, so that copies needn't
-    meet in one task. An empty table gives no rows. Other columns are ignored.
+    keys are spread over ranges by a hash of the doc_id and by the rows' places in
+    the input, so that neither copies nor repeated rows need meet in one task. An empty table gives no rows. Other columns are ignored.
 
     The files are those of one byte-level vocabulary, as tokenizer and as ranks
     with its ``pattern``; workers must be able to read them.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = in_tasks(rows, _keyed, "doc_id long, text string, curve long")
-    order = ["curve", F.xxhash64("doc_id"), "doc_id"]
-    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order, F.xxhash64("text"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    keyed = in_tasks(rows, _keyed, "doc_id long, text string, row long, curve long")
+    order = ["curve", F.xxhash64("doc_id"), "doc_id", "row"]
+    ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = pa.schema([(c, pa.int64()) for c in COLUMNS])
     kinds = ", ".join(f"{c} long" for c in COLUMNS)
     return in_tasks(ranged.select("doc_id", "text"), _packed((json_path, ranks_path, pattern), length, schema), kinds)

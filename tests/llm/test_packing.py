@@ -72,6 +72,18 @@ def test_repeated_rows_and_empty_tables(make):
     assert packing.pack(make([]), *packing_files()).count() == 0
 
 
+def test_equal_rows_without_id_are_spread(spark, make):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"  # as small ranges would be put together
+    spark.conf.set(name, "false")
+    try:
+        rows = packing.pack(make([(None, "the same words")] * 2000).repartition(4), *packing_files()).collect()
+    finally:
+        spark.conf.unset(name)
+    assert sum(p.length for p in rows) == 2000 * rows[0].doc_tokens
+    per_range = [len([p for p in rows if p.sequence_id >> 40 == r]) for r in range(8)]
+    assert max(per_range) < 700
+
+
 def test_neighbours_on_the_curve_are_alike(make):
     kinds = [["uno", "dos", "tres"], ["eins", "zwei", "drei"], ["01", "22", "93"]]
     draw = random.Random(2)
