@@ -117,10 +117,10 @@ WITH trimmed AS (
     THEN regexp_extract(substr(u, strpos(u, '://') + 3), '^[^/?#]*') END AS place
   FROM trimmed
 ), named AS (
-  SELECT *, list_last(string_split(place, '@')) AS at FROM places
+  SELECT *, list_last(string_split(place, '@')) AS named_host FROM places
 ), hosted AS (
-  SELECT *, rtrim(CASE WHEN at LIKE '[%]%' THEN substr(at, 1, strpos(at, ']')) WHEN at LIKE '[%' THEN ''
-    ELSE split_part(at, ':', 1) END, '.') AS h
+  SELECT *, rtrim(CASE WHEN named_host LIKE '[%]%' THEN substr(named_host, 1, strpos(named_host, ']')) WHEN named_host LIKE '[%' THEN ''
+    ELSE split_part(named_host, ':', 1) END, '.') AS h
   FROM named
 ), captures AS (
   SELECT page_id, url, fetched, CASE WHEN length(h) BETWEEN 1 AND 253 THEN h END AS host FROM hosted
