@@ -108,6 +108,8 @@ RULES = [
     (2, 3, -1, -1, None, None),
     (2, 4, -1, -1, None, None),
 ]
+#: Buckets of the tables that the queries keep up to date; each is a file or more.
+BUCKETS = 16
 #: Share of the lists that the probed search reads: unclustered vectors need many.
 PROBED_SHARE = 0.6
 
@@ -330,7 +332,7 @@ def silver_incremental(spark, sf_dir):
     months = F.month("admission_date")
     for part in range(3):  # three loads, each of which holds rows of all years
         save_table(rows.where(months % 3 == part).coalesce(2), bronze)
-        refresh_silver(spark, bronze, clean, log, max_files_per_batch=1)
+        refresh_silver(spark, bronze, clean, log, max_files_per_batch=1, buckets=BUCKETS)
     merge_batch(rows.where(months % 3 == 1), clean)
     return for_comparison(read_refreshed(spark, clean))
 
@@ -921,7 +923,7 @@ def _index_loads(spark, sf_dir) -> tuple[str, int, int]:
     dealt = in_order.repartition("pmid").sortWithinPartitions("_id")
     write_corpus(dealt, first)
     write_corpus(dealt.where("journal = 'en'").withColumn("title", F.concat(F.lit("New "), "title")), second)
-    return index, update_index(spark, first, index), update_index(spark, second, index)
+    return index, update_index(spark, first, index, buckets=BUCKETS), update_index(spark, second, index)
 
 
 def index_snapshots(spark, sf_dir):
@@ -940,7 +942,7 @@ def index_snapshots(spark, sf_dir):
 def index_created(spark, sf_dir):
     """An index that is created once, however often it is asked for, and then filled."""
     path, corpus_path = scratch_path(spark, "index"), scratch_path(spark, "corpus")
-    created = [ensure_index(spark, path), ensure_index(spark, path)]
+    created = [ensure_index(spark, path, BUCKETS), ensure_index(spark, path, BUCKETS)]
     write_corpus(corpus(spark, sf_dir), corpus_path)
     update_index(spark, corpus_path, path)
     return read_table(spark, path).agg(
