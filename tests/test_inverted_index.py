@@ -111,3 +111,37 @@ def test_recall(spark):
 
 def test_bounded_sizes():
     assert list_count(0, 0) == 1 and list_count(10**12, 64) == 4096 and list_count(10**12, 100_000) == 80
+
+
+def test_a_query_is_one_row_however_many_lists_it_probes(spark, stored):
+    *_, index = stored
+    asked = spark.createDataFrame(made(2, 40), "key long, vector array<double>")
+    probed = index._probe(asked, len(index.centroids)).collect()
+    assert len(probed) == 60 and all(len(r.lists) == 3 for r in probed)
+
+
+def test_what_a_search_holds_is_bounded_by_its_queries():
+    from carelake.operators import nearest
+
+    rng = np.random.default_rng(5)
+    queries, rows = rng.normal(size=(3, 4)), np.repeat(rng.normal(size=(1, 4)), 50, axis=0)
+    best = nearest.Best(3, 2)
+    for at in range(0, 1_000, 50):
+        best.add(queries, np.arange(at, at + 50), rows)
+    assert best._held <= 12 + nearest.PAIRS_PER_STEP and len(best.pairs()) == 6
+    # equal rows tie: the smallest keys stay, and what is held no longer grows
+    assert best.pairs()["d"].tolist() == [0, 1] * 3 and best._held == 6
+
+
+@pytest.mark.parametrize("block_values", [1, 24, 10**6])
+def test_blocks_hold_whole_lists_or_parts_of_one(stored, block_values):
+    *_, index = stored
+    blocks = index._blocks(block_values)
+    rows = max(1, block_values // 8)
+    filled = {}
+    for no, (first, parts) in blocks.items():
+        n = index.sizes[no][0]
+        assert parts == max(1, -(-n // rows))
+        if parts == 1:
+            filled[first] = filled.get(first, 0) + n
+    assert set(blocks) == set(index.sizes) and all(n <= rows for n in filled.values())
