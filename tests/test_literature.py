@@ -290,3 +290,31 @@ def test_broken_array_fails(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"pmid": "1"}, {"pmid": "2"')
     with pytest.raises(Exception):
         read_corpus(spark, str(tmp_path), array_file=True).collect()
+
+
+def test_words_of_many_texts_are_counted_at_once(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from carelake.functions import vectors
+
+    monkeypatch.setattr(vectors, "REMEMBERED_WORDS", 2)  # forgetting changes nothing
+    texts = ["Ab ab-9É x", "", None, "İſ K—é", " z\x00Q9 z\n"]
+    words = [["ab", "ab", "9", "x"], [], [], ["k"], ["z", "q9", "z"]]
+    wanted = np.zeros((5, 7), "int64")
+    for row, found in zip(wanted, words):
+        for word in found:
+            place, sign = vectors.digest_place(word, 7)
+            row[place] += sign
+    got = vectors.counted_places(pd.Series(texts), vectors.KnownPlaces(7))
+    assert np.array_equal(got, wanted)
+
+
+def test_whole_numbers_as_round_gives_them(spark):
+    from carelake.plans.catalog import rounded_half_up
+
+    values = [0.5, -0.5, 1.5, 2.5, -2.5, 0.49999999999999994, -0.49999999999999994, 0.0, 7.0, 123456.5, 999999.4999999999, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = df.select(rounded_half_up(F.col("x")).alias("got"), F.round("x").cast("long").alias("want"))
+    assert [r.got for r in rows.collect()] == [r.want for r in rows.collect()]
+    assert "round(" not in rows.select("got")._jdf.queryExecution().optimizedPlan().toString()
