@@ -318,3 +318,19 @@ def test_whole_numbers_as_round_gives_them(spark):
     rows = df.select(rounded_half_up(F.col("x")).alias("got"), F.round("x").cast("long").alias("want"))
     assert [r.got for r in rows.collect()] == [r.want for r in rows.collect()]
     assert "round(" not in rows.select("got")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_array_files_grow_in_number_with_the_table(spark, tmp_path, monkeypatch):
+    from carelake.plans import catalog
+
+    rows = spark.range(0, 60, 1, 6).selectExpr(
+        "id AS doc_id", "concat('t', id) AS text", "'en' AS lang", "'s1' AS source", "2L AS n_chars"
+    )
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))  # a task per file
+    try:
+        assert catalog.corpus_array(spark, str(tmp_path)).count() == 60
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(list((tmp_path / "corpus").glob("part-*"))) == 6
