@@ -145,3 +145,11 @@ def test_blocks_hold_whole_lists_or_parts_of_one(stored, block_values):
         if parts == 1:
             filled[first] = filled.get(first, 0) + n
     assert set(blocks) == set(index.sizes) and all(n <= rows for n in filled.values())
+
+
+def test_blocks_of_four_tasks_fit_a_quarter_of_their_memory():
+    from carelake.operators import nearest
+
+    copies, sides, tasks = 3, 2, 4  # as read, as doubles and in key order
+    assert 8 * nearest.BLOCK_VALUES * copies * sides * tasks < 1e9
+    assert 8 * nearest.BROADCAST_VALUES * copies * tasks < 1e9
