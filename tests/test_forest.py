@@ -21,7 +21,7 @@ from carelake.operators.forest import (
     top_importances,
     train_model,
 )
-from carelake.operators.shap import Explainer, Tree, baseline, forest_contributions
+from carelake.operators.shap import Explainer, Tree, baseline, forest_contributions, tree_contributions
 from carelake.plans import scoring
 from carelake.schemas import PATIENT_SCHEMA
 
@@ -200,6 +200,61 @@ def test_against_all_coalitions():
     assert baseline(SMALL_FOREST) == pytest.approx(0.45)
 
 
+def grown_tree(rng, depth, covers=200):
+    """A tree over three features that tests features again further down."""
+    nodes = []
+
+    def grow(level, neg, pos):
+        at = len(nodes)
+        nodes.append(None)
+        if level == depth or (level > 1 and rng.random() < 0.2):
+            nodes[at] = (-1, -1, -1, 0, neg, pos)
+        else:
+            feature = int(rng.integers(3))
+            cut = 0.5 if feature == 2 else float(rng.integers(0, 6)) + 0.5
+            share = rng.uniform(0.2, 0.8, 2)
+            left = grow(level + 1, neg * share[0], pos * share[1])
+            right = grow(level + 1, neg * (1 - share[0]), pos * (1 - share[1]))
+            nodes[at] = (left, right, feature, cut, neg, pos)
+        return at
+
+    grow(0, float(covers), float(covers))
+    return tree(*nodes)
+
+
+def test_many_rows_against_all_coalitions():
+    rng = np.random.default_rng(5)
+    rows = np.array([[a, b, c] for a in range(7) for b in range(7) for c in (0, 1)], dtype=float)
+    rows[3, 0] = np.nan  # goes right everywhere
+    for t in (grown_tree(rng, 5), grown_tree(rng, 6), SMALL_FOREST[1]):
+        got = forest_contributions([t], rows)
+        want = [[shapley(t, x, i) for i in range(3)] for x in rows]
+        assert np.allclose(got, want, atol=1e-12)
+
+
+def test_rows_that_no_test_below_tells_apart_go_down_as_one():
+    met = []
+
+    class Value:
+        __array_ufunc__ = None
+
+        def __init__(self, value):
+            self.value = value
+
+        def __rmul__(self, product):
+            met.append(len(product))
+            return product * self.value
+
+    t = grown_tree(np.random.default_rng(5), 8)
+    rng = np.random.default_rng(6)
+    rows = np.stack([rng.uniform(0, 7, 5000), rng.uniform(0, 7, 5000), rng.integers(0, 2, 5000)], axis=1)
+    want = tree_contributions(t, rows)
+    watched = Tree(t.left, t.right, t.feature, t.threshold, t.cover, [Value(v) for v in t.value])
+    assert np.array_equal(tree_contributions(watched, rows), want)
+    # at a leaf: three features, each met on the way or not
+    assert len(met) == (t.left < 0).sum() and max(met) <= 98 and sum(met) < len(rows)
+
+
 def test_batch_mean(spark, result):
     model = load_model(spark, result.model_path)
     scored, seen = scoring.with_batch_mean(scoring.predict(requests(spark, HIGH, LOW), model)[0])
