@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from carelake.schemas import CORRUPT_RECORD, PATIENT_SCHEMA
@@ -130,3 +131,14 @@ def test_stream_and_batch_do_not_share_a_table(spark, raw, tmp_path):
     ingest_raw_csv(spark, str(raw), batch)
     with pytest.raises(ValueError, match="batch"):
         ingest_new_files(spark, str(raw), batch, str(tmp_path / "log2"))
+
+
+def test_a_large_file_is_dealt_to_many_tasks(spark, tmp_path):
+    """A file has many row groups, each of which another task can read."""
+    path = str(tmp_path / "t")
+    rows = spark.range(2_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
+    save_table(rows.coalesce(1), path)
+    read = spark.read.parquet(path)
+    # 8 tasks and splits of 4 MB at least: each of them has its own row groups
+    in_tasks = read.groupBy(F.spark_partition_id()).count().count()
+    assert in_tasks > 1 and read.count() == 2_000_000
