@@ -8,6 +8,7 @@ from carelake.functions.literature import citation_url, embedding_text, fill_pay
 from carelake.functions.vectors import cosine, hashed_embedder, l2_norm, model_embedder, normalize
 from carelake.operators.dedupe import first_query_wins
 from carelake.operators.nearest import top_k
+from carelake.plans import corpus
 from carelake.plans.corpus import (
     collect_corpus,
     embed_articles,
@@ -334,3 +335,20 @@ def test_array_files_grow_in_number_with_the_table(spark, tmp_path, monkeypatch)
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len(list((tmp_path / "corpus").glob("part-*"))) == 6
+
+
+def test_corpus_is_parsed_for_the_places_and_for_the_texts_only(spark, tmp_path, monkeypatch):
+    entries = [(str(i % 50), f"t{i}", "word", "j", "2020", ["a"], "q") for i in range(60)]
+    write_corpus(spark.createDataFrame(entries, ABSTRACT_SCHEMA), str(tmp_path / "c"))
+    parsed, read = spark.sparkContext.accumulator(0), corpus.read_corpus
+
+    @F.udf("string")
+    def noted(pmid):
+        parsed.add(1)
+        return pmid
+
+    noted = noted.asNondeterministic()
+    monkeypatch.setattr(corpus, "read_corpus", lambda *a, **k: read(*a, **k).withColumn("pmid", noted("pmid")))
+    assert corpus.index_corpus(spark, str(tmp_path / "c"), str(tmp_path / "v")) == 60
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 50
+    assert parsed.value <= 2 * 60
