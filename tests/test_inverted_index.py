@@ -153,3 +153,36 @@ def test_blocks_of_four_tasks_fit_a_quarter_of_their_memory():
     copies, sides, tasks = 3, 2, 4  # as read, as doubles and in key order
     assert 8 * nearest.BLOCK_VALUES * copies * sides * tasks < 1e9
     assert 8 * nearest.BROADCAST_VALUES * copies * tasks < 1e9
+
+
+def test_a_pair_of_full_blocks_takes_a_bounded_part_of_a_worker():
+    """Matrices, similarities and what is found, without Arrow's own memory."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from carelake.operators import nearest
+
+    rows = nearest.BLOCK_VALUES // 64
+    numbers = np.random.default_rng(1).normal(size=(2, rows * 64)).astype("float32")
+    left, right = (
+        pa.table({"key": np.arange(rows), "vector": pa.FixedSizeListArray.from_arrays(n, 64).cast(pa.list_(pa.float32()))})
+        for n in numbers
+    )
+    tracemalloc.start()
+    found = nearest.block_result(left, right, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 3 * rows and peak < 130e6
+
+
+def test_what_many_queries_found_is_sorted_out_early():
+    from carelake.operators import nearest
+
+    angles = np.linspace(1.5, 0, 300)  # each row is nearer than those before
+    best, queries = nearest.Best(1000, 2), np.tile([1.0, 0.0], (1000, 1))
+    held = 0
+    for at, angle in enumerate(angles):
+        best.add(queries, np.array([at]), np.array([[np.cos(angle), np.sin(angle)]]))
+        held = max(held, best._held)
+    assert held <= 210_000 and best.pairs()["d"].tolist() == [299, 298] * 1000
